@@ -9,16 +9,19 @@ those 50 bytes.
 One suffix array of a whole corpus doesn't fit a machine, so the work is dealt out
 without losing a match:
 
-1. Every 50-byte window names an anchor, the 16-byte string of smallest hash in
+1. Later copies of a whole text lose all of it (from 50 bytes on) and take no further part.
+2. Every 50-byte window names an anchor, the 20-byte string of smallest hash in
    it. Equal windows have equal anchors. Anchors' hashes meet in buckets; those
    that occur in one document only are done with. A batch sends a hash once, however
    many of its documents hold it, so a passage that a third of all documents share
    reaches its bucket once a batch.
-2. Each document sends, for its shared anchors, the stretch of text whose windows
-   name that anchor (84 bytes at most). Equal stretches of one batch are settled
+3. Each document sends, for its shared anchors, the stretch of text whose windows
+   name that anchor (80 bytes at most). Equal stretches of one batch are settled
    there, and of one bucket as well; only anchors with differing stretches are left.
-3. For these, suffix order, LCP and longest previous factors are computed in a bucket.
-4. Removed windows go back to their documents, which are joined with them by key.
+4. For these, suffix order, LCP and longest previous factors are computed in a bucket.
+5. Removed windows go back to their documents, which are joined with them by key.
+
+Answers travel as one packed row for each pair of bucket and destination.
 
 Null texts count as empty, null doc_ids as larger than any other. Rows that share doc_id
 and text have one result; rows that share doc_id alone don't remove from each other.
@@ -37,35 +40,38 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batches_of, order_id, shuffle_partitions, small_batches, text_bytes
+from tidelog.llm.common import NULL_ID, batches_of, order_id, shuffle_partitions, small_batches, text_bytes
 
 GRAM = 50
-ANCHOR = 16
+ANCHOR = 20
 WINDOW = GRAM - ANCHOR + 1
 HASH_MASK = np.uint64((1 << 48) - 1)
+#: Bytes of text worked on at once; a longer text is worked on alone.
+BATCH_BYTES = 4_000_000
 
 _RNG = np.random.default_rng(7919)
 _BYTE_HASH = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
-_MULTIPLIERS = _RNG.integers(0, 2**64, 4, dtype=np.uint64) | np.uint64(1)
+_MULTIPLIERS = _RNG.integers(0, 2**64, 6, dtype=np.uint64) | np.uint64(1)
 
-SHARED = pa.schema([("id", pa.int64()), ("row_hash", pa.int64()), ("shared", pa.binary())])
-STRETCHES = pa.schema([("bucket", pa.int32()), ("payload", pa.binary())])
-REMOVED = pa.schema([("id", pa.int64()), ("row_hash", pa.int64()), ("windows", pa.binary())])
-SHARED_DDL = "id long, row_hash long, shared binary"
-STRETCHES_DDL = "bucket int, payload binary"
-REMOVED_DDL = "id long, row_hash long, windows binary"
+PACKED = pa.schema([("bucket", pa.int32()), ("payload", pa.binary())])
+PACKED_DDL = "bucket int, payload binary"
+GATHERED = pa.schema([("id", pa.int64()), ("row_hash", pa.int64()), ("found", pa.binary())])
+GATHERED_DDL = "id long, row_hash long, found binary"
 
 
 # ---------------------------------------------------------------- anchors
 
 
-def anchor_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the ANCHOR bytes that start at each position."""
+def string_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the size bytes that start at each position."""
     h, step = _BYTE_HASH[data], 1
     for m in _MULTIPLIERS:
-        h = h[:-step] * m + h[step:]
+        if step == size:
+            return h
+        more = min(step, size - step)  # the last part may overlap the one before
+        h = (h[:-more] * m) + h[more:]
         h ^= h >> np.uint64(31)
-        step *= 2
+        step += more
     return h
 
 
@@ -76,7 +82,7 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     """
     if len(data) < GRAM:
         return tuple(np.zeros(0, np.int64) for _ in range(5))
-    h = anchor_hashes(data)
+    h = string_hashes(data, ANCHOR)
     low = (h >> np.uint64(32) << np.uint64(32)) | np.arange(len(h), dtype=np.uint64)
     width = 1
     while width * 2 <= WINDOW:
@@ -134,118 +140,171 @@ def _unpack(blob: bytes, *types) -> list[np.ndarray]:
     return out
 
 
+def _texts(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple]:
+    """(ids, row hashes, texts, ...) of about BATCH_BYTES, sorted by id and row hash."""
+    held, size = [], 0
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("id", "row_hash", "data", *more))):
+            held.append(row)
+            size += len(row[2])
+            if size >= BATCH_BYTES:
+                yield _sorted(held)
+                held, size = [], 0
+    if held:
+        yield _sorted(held)
+
+
+def _sorted(rows: list[tuple]) -> tuple:
+    ids, keys, *rest = zip(*sorted(rows, key=lambda r: r[:2]))
+    return (np.array(ids, np.int64), np.array(keys, np.int64), *rest)
+
+
+def _runs(*sorted_columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of equal entries."""
+    n = len(sorted_columns[0])
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    change = np.zeros(n - 1, bool)
+    for c in sorted_columns:
+        change |= c[1:] != c[:-1]
+    cut = np.flatnonzero(change) + 1
+    return np.concatenate(([0], cut)), np.append(cut, n)
+
+
 def send_anchors(buckets: int):
-    """Rows (bucket, payload): hashes and, for each, the row it stands in; a hash goes out for the smallest row of the batch alone.
+    """Rows (bucket, payload): hashes and the rows they stand in; a hash goes out for the smallest row of the batch alone.
 
     Rows that share a hash inside a batch need no answer: for them, payload carries the finished answer to any bucket.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, keys = (batch.column(c).to_numpy() for c in ("id", "row_hash"))
-            data, starts, ends = _joined(batch.column("data").to_pylist())
-            doc, h, *_ = anchors(data, starts, ends)
-            order = np.lexsort((keys[doc], ids[doc], h))
+        for ids, keys, texts in _texts(batches):
+            doc, h, *_ = anchors(*_joined(texts))
+            order = np.lexsort((doc, h))
             doc, h = doc[order], h[order]
-            same_hash = np.zeros(len(h), bool)
-            same_hash[1:] = h[1:] == h[:-1]
-            again = same_hash.copy()
-            again[1:] &= (ids[doc[1:]] == ids[doc[:-1]]) & (keys[doc[1:]] == keys[doc[:-1]])  # the same hash of the same row
-            doc, h, same_hash = doc[~again], h[~again], same_hash[~again]
-            follows = np.zeros(len(h), bool)
-            follows[:-1] = same_hash[1:]
-            settled = same_hash | follows  # two rows of this batch hold it
-            asked = ~same_hash  # the smallest row asks the bucket; if it is settled, others still must learn of the hash
+            row = np.unique(np.stack((ids, keys), 1), axis=0, return_inverse=True)[1].ravel()  # rows that are repeated count as one
+            again = np.zeros(len(h), bool)
+            again[1:] = (h[1:] == h[:-1]) & (row[doc[1:]] == row[doc[:-1]])
+            doc, h = doc[~again], h[~again]
+            same = np.zeros(len(h) + 1, bool)
+            same[1:-1] = h[1:] == h[:-1]
+            asked, settled = ~same[:-1], same[:-1] | same[1:]
             out = []
-            b = _by_bucket(h, buckets)
-            for chosen, kind in ((asked, 0), (settled, 1)):
-                where = b if kind == 0 else doc % buckets
+            for chosen, kind, where in ((asked, b"\0", _by_bucket(h, buckets)), (settled, b"\1", doc % buckets)):
                 idx = np.flatnonzero(chosen)
                 idx = idx[np.lexsort((doc[idx], where[idx]))]
-                for part in np.split(idx, np.flatnonzero(np.diff(where[idx])) + 1) if len(idx) else ():
-                    d, first, inverse = np.unique(doc[part], return_index=True, return_inverse=True)
-                    counts = np.bincount(inverse).astype(np.uint32)
-                    six = h[part].view(np.uint8).reshape(-1, 8)[:, :6]
-                    out.append((int(where[part[0]]), bytes([kind]) * 8 + _pack(ids[d], keys[d], counts, six)))
-            yield from batches_of(out, STRETCHES)
+                for s, e in zip(*_runs(where[idx])):
+                    part = idx[s:e]
+                    out.append((int(where[part[0]]), kind * 8 + _pack_hashes(ids[doc[part]], keys[doc[part]], h[part])))
+            yield from batches_of(out, PACKED)
 
     return run
 
 
-def _opened(payload: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    ids, keys, counts, six = _unpack(payload[8:], np.int64, np.int64, np.uint32, np.uint8)
+def _pack_hashes(ids: np.ndarray, keys: np.ndarray, h: np.ndarray) -> bytes:
+    """Sorted by id and key; hashes have six bytes."""
+    start, end = _runs(ids, keys)
+    return _pack(ids[start], keys[start], (end - start).astype(np.uint32), np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :6])
+
+
+def _unpack_hashes(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ids, keys, counts, six = _unpack(blob, np.int64, np.int64, np.uint32, np.uint8)
     h = np.zeros((len(six) // 6, 8), np.uint8)
     h[:, :6] = six.reshape(-1, 6)
-    return payload[0], np.repeat(ids, counts), np.repeat(keys, counts), h.view(np.uint64).ravel()
-
-
-def answer_anchors(group: pa.Table) -> pa.Table:
-    """Rows (id, row_hash, shared): the hashes that another row has as well."""
-    parts = [_opened(x) for x in group.column("payload").to_pylist()]
-    done = [p[1:] for p in parts if p[0] == 1]
-    asked = [p[1:] for p in parts if p[0] == 0]
-    found = list(done)
-    if asked:
-        ids, keys, h = (np.concatenate(x) for x in zip(*asked))
-        order = np.argsort(h, kind="stable")
-        same = h[order[1:]] == h[order[:-1]]
-        many = np.zeros(len(h), bool)
-        many[order[1:]] |= same
-        many[order[:-1]] |= same
-        found.append((ids[many], keys[many], h[many]))
-    ids, keys, h = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
-    order = np.lexsort((h, keys, ids))
-    ids, keys, h = ids[order], keys[order], h[order]
-    cut = np.flatnonzero((np.diff(ids) != 0) | (np.diff(keys) != 0)) + 1
-    begin = np.concatenate(([0], cut)) if len(ids) else np.zeros(0, np.int64)
-    end = np.append(cut, len(ids))
-    return pa.Table.from_arrays([pa.array(ids[begin]), pa.array(keys[begin]), pa.array([h[s:e].tobytes() for s, e in zip(begin, end)], pa.binary())], schema=SHARED)
+    return np.repeat(ids, counts), np.repeat(keys, counts), h.view(np.uint64).ravel()
+
+
+def _deal(ids: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(destination, indexes) of the entries, which are sorted by id and key."""
+    where = ids % buckets
+    order = np.argsort(where, kind="stable")
+    for s, e in zip(*_runs(where[order])):
+        yield int(where[order[s]]), order[s:e]
+
+
+def answer_anchors(buckets: int):
+    """Packed rows: the hashes that another row has as well, dealt out by the rows' ids."""
+
+    def run(group: pa.Table) -> pa.Table:
+        found, asked = [], []
+        for payload in group.column("payload").to_pylist():
+            (found if payload[0] else asked).append(_unpack_hashes(payload[8:]))
+        if asked:
+            ids, keys, h = (np.concatenate(x) for x in zip(*asked))
+            order = np.argsort(h, kind="stable")
+            same = h[order[1:]] == h[order[:-1]]
+            many = np.zeros(len(h), bool)
+            many[order[1:]] |= same
+            many[order[:-1]] |= same
+            found.append((ids[many], keys[many], h[many]))
+        ids, keys, h = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((keys, ids))
+        ids, keys, h = ids[order], keys[order], h[order]
+        return _table([(b, _pack_hashes(ids[k], keys[k], h[k])) for b, k in _deal(ids, buckets)], PACKED)
+
+    return run
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_batches(list(batches_of(rows, schema)), schema)
+
+
+def gather_hashes(group: pa.Table) -> pa.Table:
+    """A row for each document: its shared hashes."""
+    return _gathered([_unpack_hashes(x) for x in group.column("payload").to_pylist()])
+
+
+def gather_windows(group: pa.Table) -> pa.Table:
+    """A row for each document: first and number of the windows that go, in pairs."""
+    parts = [_unpack(x, np.int64, np.int64, np.uint32, np.uint8) for x in group.column("payload").to_pylist()]
+    return _gathered([(i, k, np.stack((f, n), 1, dtype=np.int64)) for i, k, f, n in parts])
+
+
+def _gathered(parts: list[tuple[np.ndarray, ...]]) -> pa.Table:
+    ids, keys, values = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((keys, ids))
+    ids, keys, values = ids[order], keys[order], values[order]
+    start, end = _runs(ids, keys)
+    return pa.Table.from_arrays([pa.array(ids[start]), pa.array(keys[start]), pa.array([values[s:e].tobytes() for s, e in zip(start, end)], pa.binary())], schema=GATHERED)
 
 
 # ---------------------------------------------------------------- stretches of text
 
 
 def send_stretches(buckets: int):
-    """Rows (bucket, payload) with the stretches of shared anchors; equal stretches of one batch leave it once, for the smallest row."""
+    """Packed rows with the stretches of shared anchors; equal stretches of one batch leave it once, for the smallest row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, keys = (batch.column(c).to_numpy() for c in ("id", "row_hash"))
-            order = np.lexsort((keys, ids))
-            texts = batch.column("data").to_pylist()
-            shared = batch.column("shared").to_pylist()
-            data, starts, ends = _joined([texts[i] for i in order])
+        for ids, keys, texts, found in _texts(batches, "found"):
+            data, starts, ends = _joined(texts)
             whole = data.tobytes()
             doc, h, first, count, where = anchors(data, starts, ends)
             keep = np.zeros(len(h), bool)
-            lo = np.searchsorted(doc, np.arange(len(order) + 1))
-            for k, i in enumerate(order.tolist()):
-                if lo[k] < lo[k + 1]:
-                    mine = np.frombuffer(b"".join(shared[i] or ()), np.uint64)
-                    keep[lo[k] : lo[k + 1]] = np.isin(h[lo[k] : lo[k + 1]], mine)
+            lo = np.searchsorted(doc, np.arange(len(ids) + 1)).tolist()
+            for k, mine in enumerate(found):
+                if mine:
+                    keep[lo[k] : lo[k + 1]] = np.isin(h[lo[k] : lo[k + 1]], np.frombuffer(mine, np.uint64))
             doc, h, first, count, where = (x[keep] for x in (doc, h, first, count, where))
+            bucket, at = _by_bucket(h, buckets), first - starts[doc]
             seen: dict[tuple[int, bytes], int] = {}
-            sent, removed = [], []
+            gone = np.zeros(len(doc), bool)
+            stretches = []
+            id_list = ids.tolist()
             for k, (d, f, n, w) in enumerate(zip(doc.tolist(), first.tolist(), count.tolist(), where.tolist())):
-                known = seen.setdefault((w - f, whole[f : f + n + GRAM - 1]), d)
-                if ids[order[known]] < ids[order[d]]:
-                    removed.append(k)
-                else:
-                    sent.append(k)
+                stretches.append(x := whole[f : f + n + GRAM - 1])
+                gone[k] = id_list[seen.setdefault((w - f, x), d)] < id_list[d]
             out = []
-            if removed:
-                k = np.array(removed)
-                out.append((int(ids[order[0]] % buckets), b"\1" * 8 + _pack(ids[order[doc[k]]], keys[order[doc[k]]], first[k] - starts[doc[k]], count[k].astype(np.uint8))))
-            if sent:
-                k = np.array(sent)
-                b = _by_bucket(h[k], buckets)
-                k = k[np.argsort(b, kind="stable")]
-                b = np.sort(b)
-                for part in np.split(k, np.flatnonzero(np.diff(b)) + 1):
-                    text = zstandard.compress(b"".join(whole[f : f + n + GRAM - 1] for f, n in zip(first[part].tolist(), count[part].tolist())), 1)
-                    d = doc[part]
-                    out.append((int(_by_bucket(h[part[:1]], buckets)[0]), b"\0" * 8 + _pack(ids[order[d]], keys[order[d]], first[part] - starts[d], count[part].astype(np.uint8), (where[part] - first[part]).astype(np.uint8), h[part], np.frombuffer(text, np.uint8))))
-            yield from batches_of(out, STRETCHES)
+            if gone.any():
+                out.append((int(ids[0] % buckets), b"\1" * 8 + _pack(ids[doc[gone]], keys[doc[gone]], at[gone].astype(np.uint32), count[gone].astype(np.uint8))))
+            sent = np.flatnonzero(~gone)
+            sent = sent[np.argsort(bucket[sent], kind="stable")]
+            for s, e in zip(*_runs(bucket[sent])):
+                k = sent[s:e]
+                row, index = np.unique(doc[k], return_inverse=True)
+                text = b"".join(stretches[j] for j in k.tolist())
+                body = _pack(ids[row], keys[row], index.astype(np.uint32), at[k].astype(np.uint32), count[k].astype(np.uint8), (where[k] - first[k]).astype(np.uint8), np.frombuffer(text, np.uint8))
+                out.append((int(bucket[k[0]]), b"\0" * 8 + zstandard.compress(body, 3)))
+            yield from batches_of(out, PACKED)
 
     return run
 
@@ -320,72 +379,93 @@ def longest_previous_factor(data: np.ndarray, positions: np.ndarray, owner: np.n
     return out
 
 
-def settle_stretches(group: pa.Table) -> pa.Table:
-    """Rows (id, row_hash, windows): first and number of the windows that go."""
-    removed: list[tuple[np.ndarray, ...]] = []
-    parts = []
-    for payload in group.column("payload").to_pylist():
-        if payload[0] == 1:
-            removed.append(tuple(_unpack(payload[8:], np.int64, np.int64, np.int64, np.uint8)))
-        else:
-            parts.append(_unpack(payload[8:], np.int64, np.int64, np.int64, np.uint8, np.uint8, np.uint64, np.uint8))
-    if parts:
-        ids, keys, first, count, before, h = (np.concatenate([p[i] for p in parts]) for i in range(6))
-        texts: list[bytes] = []
-        for p in parts:
-            data, at = zstandard.decompress(p[6].tobytes()), 0
-            for n in p[3].tolist():
-                texts.append(data[at : at + n + GRAM - 1])
-                at += n + GRAM - 1
+def settle_stretches(buckets: int):
+    """Packed rows: first and number of the windows that go, dealt out by the rows' ids."""
+
+    def run(group: pa.Table) -> pa.Table:
+        removed, parts = [], []
+        for payload in group.column("payload").to_pylist():
+            if payload[0]:
+                removed.append(tuple(_unpack(payload[8:], np.int64, np.int64, np.uint32, np.uint8)))
+            else:
+                parts.append(_unpack(zstandard.decompress(payload[8:]), np.int64, np.int64, np.uint32, np.uint32, np.uint8, np.uint8, np.uint8))
+        if parts:
+            removed += _settled(parts)
+        ids, keys, first, count = (np.concatenate(x) for x in zip(*removed))
         order = np.lexsort((first, keys, ids))
-        seen: dict[tuple[int, bytes], int] = {}
-        gone, left = [], []
-        for k in order.tolist():
-            known = seen.setdefault((int(before[k]), texts[k]), k)
-            (gone if ids[known] < ids[k] else left).append(k)
-        removed.append(tuple(x[gone] for x in (ids, keys, first, count)))
-        left = np.array(left, np.int64)
-        _, inverse, times = np.unique(h[left], return_inverse=True, return_counts=True)
-        left = left[times[inverse] > 1]
-        left = left[np.argsort(h[left], kind="stable")]
-        at = 0
-        while at < len(left):  # whole anchors, about a million bytes at a time
-            end = min(at + 15_000, len(left))
-            while end < len(left) and h[left[end]] == h[left[end - 1]]:
-                end += 1
-            removed.append(_factors(left[at:end], ids, keys, first, count, texts))
-            at = end
-    ids, keys, first, count = (np.concatenate(x) for x in zip(*removed)) if removed else (np.zeros(0, np.int64),) * 4
+        ids, keys, first, count = (x[order] for x in (ids, keys, first, count))
+        return _table([(b, _pack(ids[k], keys[k], first[k], count[k])) for b, k in _deal(ids, buckets)], PACKED)
+
+    return run
+
+
+def _settled(parts: list[list[np.ndarray]]) -> list[tuple[np.ndarray, ...]]:
+    ids = np.concatenate([p[0][p[2]] for p in parts])
+    keys = np.concatenate([p[1][p[2]] for p in parts])
+    first, count, before = (np.concatenate([p[i] for p in parts]) for i in (3, 4, 5))
+    data = np.concatenate([p[6] for p in parts])
+    size = count.astype(np.int64) + GRAM - 1
+    start = np.cumsum(size) - size
+    whole = data.tobytes()
+    seen: dict[tuple[int, bytes], int] = {}
+    gone = np.zeros(len(ids), bool)
+    id_list = ids.tolist()
     order = np.lexsort((first, keys, ids))
-    ids, keys, first, count = (x[order] for x in (ids, keys, first, count))
-    cut = np.flatnonzero((np.diff(ids) != 0) | (np.diff(keys) != 0)) + 1
-    begin = np.concatenate(([0], cut)) if len(ids) else np.zeros(0, np.int64)
-    end = np.append(cut, len(ids))
-    pairs = np.stack((first.astype(np.int64), count.astype(np.int64)), 1)
-    return pa.Table.from_arrays([pa.array(ids[begin]), pa.array(keys[begin]), pa.array([pairs[s:e].tobytes() for s, e in zip(begin, end)], pa.binary())], schema=REMOVED)
+    for k, i, b, s, e in zip(order.tolist(), ids[order].tolist(), before[order].tolist(), start[order].tolist(), (start + size)[order].tolist()):
+        gone[k] = id_list[seen.setdefault((b, whole[s:e]), k)] < i
+    out = [tuple(x[gone] for x in (ids, keys, first, count))]
+    del seen, whole, id_list
+    left = np.flatnonzero(~gone)
+    anchor = string_hashes(data, ANCHOR)[start + before]
+    _, inverse, times = np.unique(anchor[left], return_inverse=True, return_counts=True)
+    left = left[times[inverse] > 1]
+    left = left[np.argsort(anchor[left], kind="stable")]
+    at = 0
+    while at < len(left):  # whole anchors, about a million bytes at a time
+        end = min(at + 15_000, len(left))
+        while end < len(left) and anchor[left[end]] == anchor[left[end - 1]]:
+            end += 1
+        out.append(_factors(left[at:end], ids, keys, first, count, data, start))
+        at = end
+    return out
 
 
-def _factors(chosen: np.ndarray, ids, keys, first, count, texts) -> tuple[np.ndarray, ...]:
+def _windows(chosen: np.ndarray, count: np.ndarray, start: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The chosen stretches' bytes in a row; of each of their windows its place there, its stretch and its number in it."""
     n = count[chosen].astype(np.int64)
     size = n + GRAM - 1
-    starts = np.cumsum(size) - size
-    data = np.frombuffer(b"".join(texts[k] for k in chosen.tolist()), np.uint8)
+    own = np.cumsum(size) - size
+    text = data[np.repeat(start[chosen] - own, size) + np.arange(size.sum())]
     entry = np.repeat(np.arange(len(chosen)), n)
     within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    length = longest_previous_factor(data, starts[entry] + within, ids[chosen][entry])
+    return text, own[entry] + within, entry, within
+
+
+def _factors(chosen: np.ndarray, ids, keys, first, count, data, start) -> tuple[np.ndarray, ...]:
+    text, place, entry, within = _windows(chosen, count, start, data)
+    h = string_hashes(text, GRAM)[place]
+    order = np.sort(h)
+    twice = np.isin(h, order[1:][order[1:] == order[:-1]])  # the others cannot match
+    chosen = chosen[np.unique(entry[twice])]
+    if not len(chosen):
+        return tuple(x[:0] for x in (ids, keys, first, count))
+    text, place, entry, within = _windows(chosen, count, start, data)
+    length = longest_previous_factor(text, place, ids[chosen][entry])
     hit = length >= GRAM
     k = chosen[entry[hit]]
-    return ids[k], keys[k], first[k] + within[hit], np.ones(len(k), np.uint8)
+    return ids[k], keys[k], (first[k] + within[hit]).astype(np.uint32), np.ones(len(k), np.uint8)
 
 
 # ---------------------------------------------------------------- what is left of each document
 
 
-def _kept(data: bytes, windows: list[bytes]) -> tuple[bytes, int, int]:
+def _kept(data: bytes, windows: bytes | None, copy: bool | None) -> tuple[bytes, int, int]:
     """The remaining bytes, number of bytes and of runs removed."""
-    pairs = np.frombuffer(b"".join(windows or ()), np.int64).reshape(-1, 2)
-    if not len(pairs):
+    if copy and len(data) >= GRAM:
+        return b"", len(data), 1
+    if not windows:
         return data, 0, 0
+    pairs = np.frombuffer(windows, np.int64).reshape(-1, 2)
     depth = np.zeros(len(data) + 1, np.int32)
     np.add.at(depth, pairs[:, 0], 1)
     np.add.at(depth, pairs[:, 0] + pairs[:, 1] + GRAM - 1, -1)
@@ -401,31 +481,43 @@ def _apply(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for i, k, data, windows in zip(*(batch.column(c).to_pylist() for c in ("id", "row_hash", "data", "windows"))):
-                kept, gone, spans = _kept(data, windows)
+            for i, k, data, windows, copy in zip(*(batch.column(c).to_pylist() for c in ("id", "row_hash", "data", "found", "copy"))):
+                kept, gone, spans = _kept(data, windows, copy)
                 rows.append((i, k, len(data), gone, spans, kept if with_text else None, hashlib.sha256(kept).hexdigest()))
             yield from batches_of(rows, KEPT)
 
     return run
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(order_id().alias("id"), F.xxhash64(order_id(), text).alias("row_hash"), text_bytes().alias("data"))
+
+
 def removed_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The keyed documents (id, row_hash, data), and (id, row_hash, windows) of those that lose something."""
+    """The keyed documents (id, row_hash, data), and of those that lose something (id, row_hash, copy, found): a later copy of a whole text, or the windows that go."""
     spark = docs.sparkSession
     small_batches(spark)
     buckets = shuffle_partitions(spark)
-    rows = docs.select(order_id().alias("id"), F.xxhash64(order_id(), F.col("text").cast("string")).alias("row_hash"), text_bytes().alias("data"))
     key = ["id", "row_hash"]
-    shared = rows.mapInArrow(send_anchors(buckets), STRETCHES_DDL).groupBy("bucket").applyInArrow(answer_anchors, SHARED_DDL).groupBy(*key).agg(F.collect_list("shared").alias("shared"))
-    stretches = rows.join(shared, key).mapInArrow(send_stretches(buckets), STRETCHES_DDL)
-    windows = stretches.groupBy("bucket").applyInArrow(settle_stretches, REMOVED_DDL).groupBy(*key).agg(F.collect_list("windows").alias("windows"))
-    return rows, windows
+    rows = _keyed(docs).repartition(buckets, *key)
+    # the digests stand for whole texts: 256 bits of SHA-2
+    digests = _keyed(docs).select(*key, F.sha2("data", 256).alias("digest"))
+    lowest = digests.groupBy("digest").agg(F.min("id").alias("low"), F.count("*").alias("n")).where("n > 1")
+    copies = digests.join(lowest, "digest").where("id > low").select(*key).distinct()
+    firsts = rows.join(copies, key, "left_anti")
+    shared = firsts.mapInArrow(send_anchors(buckets), PACKED_DDL).groupBy("bucket").applyInArrow(answer_anchors(buckets), PACKED_DDL)
+    shared = shared.groupBy("bucket").applyInArrow(gather_hashes, GATHERED_DDL)
+    stretches = firsts.join(shared, key).mapInArrow(send_stretches(buckets), PACKED_DDL)
+    windows = stretches.groupBy("bucket").applyInArrow(settle_stretches(buckets), PACKED_DDL).groupBy("bucket").applyInArrow(gather_windows, GATHERED_DDL)
+    lost = windows.select(*key, F.lit(False).alias("copy"), "found").unionByName(copies.select(*key, F.lit(True).alias("copy"), F.lit(None).cast("binary").alias("found")))
+    return rows, lost
 
 
 def dedup_passages(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """(id, row_hash, n_bytes, n_removed, n_spans, kept, kept_sha256), a row for each row of docs; kept is null without with_text."""
-    rows, windows = removed_windows(docs)
-    return rows.join(windows, ["id", "row_hash"], "left").mapInArrow(_apply(with_text), KEPT_DDL)
+    rows, lost = removed_windows(docs)
+    return rows.join(lost, ["id", "row_hash"], "left").mapInArrow(_apply(with_text), KEPT_DDL)
 
 
 def query(docs: DataFrame) -> DataFrame:
@@ -434,8 +526,6 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 def _doc_id():
-    from tidelog.llm.common import NULL_ID
-
     return F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id")
 
 
@@ -445,22 +535,19 @@ def dedup_documents(docs: DataFrame) -> DataFrame:
     A cut inside a character drops the character's remaining bytes. Documents that lose nothing come back as they are.
     """
     keyed = docs.withColumn("__id", order_id()).withColumn("__hash", F.xxhash64(order_id(), F.col("text").cast("string")))
-    _, windows = removed_windows(docs)
-    windows = windows.select(F.col("id").alias("__id"), F.col("row_hash").alias("__hash"), "windows")
+    _, lost = removed_windows(docs)
+    lost = lost.select(F.col("id").alias("__id"), F.col("row_hash").alias("__hash"), F.col("copy").alias("__copy"), F.col("found").alias("__found"))
     cut = F.pandas_udf(_cut_texts, "string")
-    joined = keyed.join(windows, ["__id", "__hash"], "left")
-    changed = F.col("windows").isNotNull()
-    out = joined.withColumn("text", F.when(changed, cut("text", "windows")).otherwise(F.col("text")))
+    joined = keyed.join(lost, ["__id", "__hash"], "left")
+    changed = F.col("__copy").isNotNull()
+    out = joined.withColumn("text", F.when(changed, cut("text", "__found", "__copy")).otherwise(F.col("text")))
     out = out.where(~changed | (F.trim(F.col("text")) != ""))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 
-def _cut_texts(texts, windows):
+def _cut_texts(texts, windows, copies):
     import pandas as pd
 
-    return pd.Series([t if w is None else _kept((t or "").encode(), list(w))[0].decode(errors="ignore") for t, w in zip(texts, windows)])
-
-
-_cut_texts.__annotations__ = {}
+    return pd.Series([t if c is None or c != c else _kept((t or "").encode(), w, c)[0].decode(errors="ignore") for t, w, c in zip(texts, windows, copies)])

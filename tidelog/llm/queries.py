@@ -6,18 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import suffix_dedup
+from tidelog.llm import bpe, packing, simhash, suffix_dedup
 from tidelog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _tokenizer(name: str) -> tuple[str, str]:
+    """A public vocabulary file's place and the pattern that goes with it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name), public_tokenizers.PATTERN
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.query(table(spark, sf_dir, "documents"))
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.query(table(spark, sf_dir, "documents"), *_tokenizer("byte_bpe_50k.tiktoken"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.query(table(spark, sf_dir, "documents"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.query(table(spark, sf_dir, "documents"), *_tokenizer("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op6_simhash": op6_simhash,
+    "op8_packing": op8_packing,
 }
 
 ORACLES: dict[str, str] = {}

@@ -23,6 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.llm.common import small_batches
 
@@ -192,7 +193,7 @@ def with_column(df: DataFrame, source: str, target: str, make) -> DataFrame:
     """df with a binary column that make(list of values) gives for each batch; df's other columns stay, target replaces one of its name."""
     small_batches(df.sparkSession)
     df = df.drop(target)
-    schema = df.schema.add(target, "binary")
+    schema = T.StructType([*df.schema.fields, T.StructField(target, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import bpe, packing, simhash, suffix_dedup
+from tidelog.llm import ann, bpe, chat, langid, media, packing, sharding, simhash, suffix_dedup
 from tidelog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,11 +35,38 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.query(table(spark, sf_dir, "documents"), *_tokenizer("byte_bpe_50k.json"))
 
 
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.query(table(spark, sf_dir, "documents"))
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.query(table(spark, sf_dir, "conversations"))
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.query(table(spark, sf_dir, "documents"))
+
+
+def op9_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.query(table(spark, sf_dir, "documents"))
+
+
+def op10_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.query(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_media": op2_media,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_chat_format": op4_chat_format,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_simhash": op6_simhash,
+    "op7_langid": op7_langid,
     "op8_packing": op8_packing,
+    "op9_hash_tree": op9_hash_tree,
+    "op10_adaptive_scan": op10_adaptive_scan,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_chat_format": chat.ORACLE,
+}

@@ -27,10 +27,10 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import NULL_ID, order_id, shared_checkpoints, small_batches, text_bytes
+from tidelog.llm.common import NULL_ID, order_id, shared_checkpoints, shuffle_partitions, small_batches, text_bytes
 from tidelog.llm.graph import components
 
 RADIUS = 2
@@ -113,9 +113,9 @@ def grid_points(fingerprint: Column) -> Column:
 
 def links(prints: DataFrame) -> DataFrame:
     """(a, b): edges among distinct fingerprints (column print) whose components are those of all pairs within RADIUS bits."""
-    points = prints.select("print", F.explode(grid_points(F.col("print"))).alias("point"))
-    crowd = points.groupBy("point").agg(F.count("*").alias("n")).where("n > 1")
-    met = points.join(crowd, "point").checkpoint()
+    spread = prints.select("print").repartition(shuffle_partitions(prints.sparkSession), "print")  # each row becomes many
+    points = spread.select("print", F.explode(grid_points(F.col("print"))).alias("point"))
+    met = points.withColumn("n", F.count("*").over(Window.partitionBy("point"))).where("n > 1").checkpoint()
     few = met.where(F.col("n") <= CROWD)
     pairs = few.select("point", F.col("print").alias("a")).join(few.select("point", F.col("print").alias("b")), "point")
     near = pairs.where("a < b").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS).select("a", "b")

@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import ann, bpe, chat, langid, media, packing, sharding, simhash, suffix_dedup
+from tidelog.llm import ann, bpe, chat, langid, line_dedup, media, packing, sharding, simhash, suffix_dedup
 from tidelog.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _tokenizer(name: str) -> tuple[str, str]:
+def tokenizer(name: str) -> tuple[str, str]:
     """A public vocabulary file's place and the pattern that goes with it."""
-    import public_tokenizers
+    import publictokenizers
 
-    return public_tokenizers.path(name), public_tokenizers.PATTERN
+    return publictokenizers.path(name), publictokenizers.PATTERN
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.query(table(spark, sf_dir, "documents"))
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +28,7 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.query(table(spark, sf_dir, "documents"), *_tokenizer("byte_bpe_50k.tiktoken"))
+    return bpe.query(table(spark, sf_dir, "documents"), *tokenizer("byte_bpe_50k.tiktoken"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +36,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.query(table(spark, sf_dir, "documents"), *_tokenizer("byte_bpe_50k.json"))
+    return packing.query(table(spark, sf_dir, "documents"), *tokenizer("byte_bpe_50k.json"))
 
 
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +60,7 @@ def op10_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_media": op2_media,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_chat_format": op4_chat_format,

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.llm.bpe import with_column
 from tidelog.llm.common import small_batches, text_bytes
@@ -462,7 +463,8 @@ def with_features(df: DataFrame, media: str = "media", payload: bool = True) ->
     """df without the media column, with width, height, thumb_hash, thumbnail (a byte for each sample, row by row) and payload."""
     small_batches(df.sparkSession)
     rest = [c for c in df.columns if c not in (media, "width", "height", "thumb_hash", "thumbnail", "payload")]
-    schema = df.select(*rest).schema.add("width", "int").add("height", "int").add("thumb_hash", "string").add("thumbnail", "binary").add("payload", "binary")
+    more = {"width": T.IntegerType(), "height": T.IntegerType(), "thumb_hash": T.StringType(), "thumbnail": T.BinaryType(), "payload": T.BinaryType()}
+    schema = T.StructType([*(df.schema[c] for c in rest), *(T.StructField(n, t) for n, t in more.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

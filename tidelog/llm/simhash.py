@@ -98,23 +98,25 @@ def with_prints(docs: DataFrame, words: int) -> DataFrame:
     return docs.select(order_id().alias("id"), text_bytes().alias("data")).mapInArrow(run, "id long, print long")
 
 
-def grid_points(fingerprint: Column) -> Column:
-    """The grid points within distance 1 of a fingerprint's segment counts, packed into decimals of SEGMENT_BITS + 1 values each.
-
-    Neighbours below zero or above a segment's width are no point that two fingerprints could share otherwise than through
-    a valid one, except when both lie at the edge; they are kept as points of their own.
-    """
-    base = SEGMENT_BITS + 3
+def grid_point(fingerprint: Column) -> Column:
+    """A fingerprint's segment counts as digits of one number; digits have room for the neighbours of 0 and of a full segment."""
     counts = [F.bit_count(F.shiftrightunsigned(fingerprint, SEGMENT_BITS * k).bitwiseAND((1 << SEGMENT_BITS) - 1)).cast("long") + 1 for k in range(SEGMENTS)]
-    unit = [base**k for k in range(SEGMENTS)]
-    centre = sum((c * F.lit(u) for c, u in zip(counts, unit)), F.lit(0).cast("long"))
-    return F.array(centre, *(centre + F.lit(u) for u in unit), *(centre - F.lit(u) for u in unit))
+    return sum((c * F.lit(u) for c, u in zip(counts, _digits())), F.lit(0).cast("long"))
+
+
+def _digits() -> list[int]:
+    return [(SEGMENT_BITS + 3) ** k for k in range(SEGMENTS)]
+
+
+def near_points(point: Column) -> Column:
+    """A point and those within distance 1."""
+    return F.array(point, *(point + F.lit(u) for u in _digits()), *(point - F.lit(u) for u in _digits()))
 
 
 def links(prints: DataFrame) -> DataFrame:
     """(a, b): edges among distinct fingerprints (column print) whose components are those of all pairs within RADIUS bits."""
     spread = prints.select("print").repartition(shuffle_partitions(prints.sparkSession), "print")  # each row becomes many
-    points = spread.select("print", F.explode(grid_points(F.col("print"))).alias("point"))
+    points = spread.withColumn("centre", grid_point(F.col("print"))).select("print", F.explode(near_points(F.col("centre"))).alias("point"))
     met = points.withColumn("n", F.count("*").over(Window.partitionBy("point"))).where("n > 1").checkpoint()
     few = met.where(F.col("n") <= CROWD)
     pairs = few.select("point", F.col("print").alias("a")).join(few.select("point", F.col("print").alias("b")), "point")

@@ -9,8 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.operators import target as sink
-
 
 def greater(new: list[Column], old: list[Column]) -> Column:
     """Whether one tuple is greater than another by SQL's rules: undecided, so not true, at a null.
@@ -52,9 +50,7 @@ def decide(target: DataFrame, rows: DataFrame, keys: list[str], cas: list[str] =
     """
     others = [c for c in target.columns if c not in keys]
     joined = rows.join(_current(target, keys, others), keys, "left")
-    ok = F.lit(True)
-    for column, age in (deadlines or {}).items():
-        ok = ok & F.coalesce(F.col(column) > as_of - F.expr(f"INTERVAL {age}"), F.lit(False))
+    ok = _timely(deadlines, as_of, F.col)
     if cas:
         ok = ok & (F.col("__exists").isNull() | greater([F.col(c) for c in cas], [F.col(f"__now_{c}") for c in cas]))
     judged = joined.withColumn("__ok", ok)
@@ -63,8 +59,37 @@ def decide(target: DataFrame, rows: DataFrame, keys: list[str], cas: list[str] =
     return Decision(applied, conflicts)
 
 
+def _timely(deadlines: dict[str, str] | None, as_of: Column | None, value: Callable[[str], Column]) -> Column:
+    ok = F.lit(True)
+    for column, age in (deadlines or {}).items():
+        ok = ok & F.coalesce(value(column) > as_of - F.expr(f"INTERVAL {age}"), F.lit(False))
+    return ok
+
+
+def apply_once(target: DataFrame, rows: DataFrame, keys: list[str], cas: list[str] = (), deadlines: dict[str, str] | None = None, as_of: Column | None = None, is_delete: str | None = None) -> Decision:
+    """Deduplicated mutations applied in one pass over the target; applied is its new state, conflicts are as decide() gives them.
+
+    Updates and deletes meet the target in one left join, which needs no shuffle of the target where the rows are few
+    enough to be broadcast (adaptive execution checks their size); new rows need the target's keys alone. Deletes hold
+    whatever the conditions say.
+    """
+    others = [c for c in target.columns if c not in keys]
+    gone = F.col(is_delete) if is_delete else F.lit(False)
+    new = rows.select(*keys, F.struct(*others).alias("__new"), gone.alias("__gone"))
+    joined = target.join(new, keys, "left")
+    wins = _timely(deadlines, as_of, lambda c: F.col(f"__new.{c}"))
+    if cas:
+        wins = wins & greater([F.col(f"__new.{c}") for c in cas], [F.col(c) for c in cas])
+    met = F.col("__new").isNotNull()
+    judged = joined.withColumn("__wins", met & wins)
+    kept = judged.where(~F.coalesce("__gone", F.lit(False))).select(*keys, *(F.when(F.col("__wins"), F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) for c in others))
+    fresh = rows.where(~gone & _timely(deadlines, as_of, F.col)).join(target.select(*keys), keys, "left_anti")
+    conflicts = judged.where(met & ~F.col("__gone") & ~F.col("__wins")).select(*keys, *(F.col(f"__new.{c}").alias(c) for c in others), *(F.col(c).alias(f"target_{c}") for c in others))
+    return Decision(kept.unionByName(fresh.select(*keys, *others)).select(*target.columns), conflicts)
+
+
 def conditional_upsert(target: DataFrame, rows: DataFrame, keys: list[str], cas: list[str] = (), deadlines: dict[str, str] | None = None, as_of: Column | None = None) -> DataFrame:
-    return sink.upsert(target, decide(target, rows, keys, cas, deadlines, as_of).applied, keys)
+    return apply_once(target, rows, keys, cas, deadlines, as_of).applied
 
 
 # ---------------------------------------------------------------- three-way merge

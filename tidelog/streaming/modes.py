@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import hlc
 from tidelog.operators import resolve, staging
-from tidelog.operators import target as sink
 from tidelog.operators.dedup import last_by_key
 
 BEST_EFFORT, CONSISTENT, IMMEDIATE = "best_effort", "consistent", "immediate"
@@ -49,16 +48,10 @@ def best_effort_batch(staged: DataFrame, applied: DataFrame, rows: DataFrame, pa
     return free.join(stuck, ["tbl", "key"], "left_anti"), queued.unionByName(free.join(stuck, ["tbl", "key"], "left_semi").select(*rows.columns))
 
 
-def apply_batch(target: DataFrame, rows: DataFrame, keys: list[str], cas: list[str] = (), deadlines: dict[str, str] | None = None, as_of: Column | None = None) -> tuple[DataFrame, DataFrame | None]:
+def apply_batch(target: DataFrame, rows: DataFrame, keys: list[str], cas: list[str] = (), deadlines: dict[str, str] | None = None, as_of: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(new target, conflicts) of one batch of mapped mutations: deletes without condition, writes by compare-and-set and deadlines."""
-    last = last_by_key(rows)
-    writes, deletes = last.where("NOT is_delete"), last.where("is_delete")
-    left = sink.delete(target, deletes, keys)
-    columns = [c for c in target.columns]
-    if not cas and not deadlines:
-        return sink.upsert(left, writes.select(*columns), keys), None
-    decision = resolve.decide(left, writes.select(*columns), keys, list(cas), deadlines, as_of)
-    return sink.upsert(left, decision.applied, keys), decision.conflicts
+    made = resolve.apply_once(target, last_by_key(rows), keys, list(cas), deadlines, as_of, is_delete="is_delete")
+    return made.applied, made.conflicts
 
 
 def in_order(batch: dict[str, DataFrame], levels: list[list[str]]) -> list[tuple[str, DataFrame]]:

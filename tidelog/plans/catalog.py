@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ class Table:
     def of(name: str, columns: str, keys: tuple[str, ...], defaults: dict[str, str] | None = None, generated: tuple[str, ...] = ()) -> Table:
         """columns is a DDL list; a table without keys gets a `rowid`."""
         made = []
-        for part in columns.split(","):
+        for part in re.split(r",(?![^()<>]*[)>])", columns):  # not inside a type
             column, kind = part.strip().split(" ", 1)
             made.append(Column(column, kind, column in keys, column in generated, (defaults or {}).get(column)))
         if not keys:

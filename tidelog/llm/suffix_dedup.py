@@ -502,7 +502,7 @@ def removed_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     key = ["id", "row_hash"]
     rows = _keyed(docs)  # dealt out by key for three joins; the plans are equal, so the exchange is made once
     # the digests stand for whole texts: 256 bits of SHA-2
-    digests = _keyed(docs).select(*key, F.sha2("data", 256).alias("digest"))
+    digests = _keyed(docs).where(F.length("data") >= GRAM).select(*key, F.sha2("data", 256).alias("digest"))
     lowest = digests.groupBy("digest").agg(F.min("id").alias("low"), F.count("*").alias("n")).where("n > 1")
     copies = digests.join(lowest, "digest").where("id > low").select(*key).distinct()
     firsts = rows.join(copies, key, "left_anti")

@@ -29,6 +29,8 @@ def test_fixed_texts(reference):
     rng = random.Random(1)
     texts = ["", " ", "a" * 1000, "ab" * 700, "x y\x1c\x85  z", "it's don'T 12³½ Ⅷ ٣", "日本語テキスト", "é" * 600, "<|endoftext|>", "\n\n  \n x", "Aa" * 5000, " " * 3000, "." * 255, "." * 256, "." * 257, None]
     texts += ["".join(rng.choice("abcdehinost   \n0123.,'é") for _ in range(rng.randrange(80))) for _ in range(300)]
+    texts += ["".join(chr(rng.choice([rng.randint(1, 127), rng.randint(128, 0x24F), rng.randint(0x250, 0xD7FF), rng.randint(0xE000, 0x10FFFF), 32, 39, 115])) for _ in range(40)) for _ in range(500)]
+    texts += [f"a{c}1{c} {c}{c}!{c}\n{c}" for c in map(chr, (0x558, 0x11DE0, 0x3D000, 0x1C89, 0x10EC2))]
     texts += ["".join(rng.choice("ab") for _ in range(n)) for n in (127, 128, 129, 254, 255, 256, 257, 2000)]
     assert ids(texts) == [reference.encode_ordinary(t or "") for t in texts]
 

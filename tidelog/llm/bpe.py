@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import small_batches
+from tidelog.llm.common import small_batches, thrifty
 
 LONG = 256
 #: Pieces that a worker remembers; at the bound it forgets them all.
@@ -221,7 +221,7 @@ def with_column(df: DataFrame, source: str, target: str, make) -> DataFrame:
             made = pa.array(make(batch.column(source).to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, target])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(thrifty(run), schema)
 
 
 def encode(df: DataFrame, path: str, pattern: str, column: str = "text", ids: str = "ids") -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,8 +14,8 @@ from pyspark.sql import functions as F
 
 #: Stands for a null doc_id: such rows sort after every other row.
 NULL_ID = 2**63 - 1
-#: Rows of one Arrow batch sent to a Python worker; long texts make a batch of few hundred rows large enough.
-BATCH_ROWS = 256
+#: Rows of one Arrow batch sent to a Python worker; with long texts, few rows make a batch large.
+BATCH_ROWS = 128
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +27,26 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def thrifty(run: Callable) -> Callable:
+    """A function of Arrow batches that gives memory back to the system when its task ends: idle workers keep little."""
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return runs
+
+
+def release_memory() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def shared_checkpoints(spark: SparkSession) -> None:
     """Make checkpoint() usable: the cluster's shared folder is taken from spark.checkpoint.dir; one is made only where none is set."""
     if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:

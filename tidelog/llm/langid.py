@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import small_batches
+from tidelog.llm.common import small_batches, thrifty
 
 ORDER = 4
 DISCOUNT = 0.75
@@ -42,7 +42,7 @@ TEXT_MARGIN, CHAR_MARGIN, TEXT_SD = 8.0, 4.0, 0.1
 #: Share of the sample that calibrates the rejection.
 CALIBRATION = 5
 #: Characters scored at once.
-CHUNK = 2_000_000
+CHUNK = 500_000
 UNDETERMINED = "und"
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -321,7 +321,7 @@ def predict(docs: DataFrame, model: Model | None = None) -> DataFrame:
             names, score, accepted = shared.value.predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names), pa.array(score), pa.array(accepted)], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(thrifty(run), schema)
 
 
 def query(docs: DataFrame) -> DataFrame:

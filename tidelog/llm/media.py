@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.llm.bpe import with_column
-from tidelog.llm.common import small_batches, text_bytes
+from tidelog.llm.common import small_batches, text_bytes, thrifty
 
 UNIT = 192
 #: Units between restart markers.
@@ -478,7 +478,7 @@ def with_features(df: DataFrame, media: str = "media", payload: bool = True) ->
             }
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *columns.values()], names=[*rest, *columns])
 
-    return df.select(*rest, media).mapInArrow(run, schema)
+    return df.select(*rest, media).mapInArrow(thrifty(run), schema)
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import small_batches
+from tidelog.llm.common import small_batches, thrifty
 
 CAP = 2048
 PLAN_TOKENS = 2_000_000
@@ -181,7 +181,7 @@ def pack(docs: DataFrame, path: str, pattern: str, end_token: int = 1) -> DataFr
         if rows := list(packer.flush(last=True)):
             yield _pieces(rows)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES_DDL)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(thrifty(run), PIECES_DDL)
 
 
 def _pieces(rows: list[tuple]) -> pa.RecordBatch:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import NULL_ID, order_id, shared_checkpoints, shuffle_partitions, small_batches, text_bytes
+from tidelog.llm.common import NULL_ID, order_id, shared_checkpoints, shuffle_partitions, small_batches, text_bytes, thrifty
 from tidelog.llm.graph import components
 
 RADIUS = 2
@@ -95,7 +95,7 @@ def with_prints(docs: DataFrame, words: int) -> DataFrame:
             made = fingerprints(batch.column("data").to_pylist(), words).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(made)], schema=PRINTS)
 
-    return docs.select(order_id().alias("id"), text_bytes().alias("data")).mapInArrow(run, "id long, print long")
+    return docs.select(order_id().alias("id"), text_bytes().alias("data")).mapInArrow(thrifty(run), "id long, print long")
 
 
 def grid_point(fingerprint: Column) -> Column:
@@ -181,7 +181,7 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
             views = [view_prints(s).view(np.int64).tolist() if len(s) else [] for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row_hash"), pa.array(node), pa.array([len(s) for s in sets], pa.int32()), pa.array(views, pa.list_(pa.int64()))], names=names)
 
-    return _keyed(docs).mapInArrow(run, "id long, row_hash long, node long, n int, views array<long>")
+    return _keyed(docs).mapInArrow(thrifty(run), "id long, row_hash long, node long, n int, views array<long>")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, words: int, si
             made = [_shingle_set(x, words).tobytes() for x in batch.column("data").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.binary())], names=["node", "shingles"])
 
-    texts = _keyed(docs).join(owners, ["id", "row_hash"]).dropDuplicates(["node"]).select("node", "data").mapInArrow(sets, "node long, shingles binary")
+    texts = _keyed(docs).join(owners, ["id", "row_hash"]).dropDuplicates(["node"]).select("node", "data").mapInArrow(thrifty(sets), "node long, shingles binary")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,7 +211,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, words: int, si
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     side = lambda c, s: texts.select(F.col("node").alias(c), F.col("shingles").alias(s))
-    return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+    return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(thrifty(check), "a long, b long")
 
 
 def similar(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY) -> DataFrame:

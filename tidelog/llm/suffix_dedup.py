@@ -40,14 +40,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import NULL_ID, batches_of, order_id, shuffle_partitions, small_batches, text_bytes
+from tidelog.llm.common import NULL_ID, batches_of, order_id, release_memory, shuffle_partitions, small_batches, text_bytes, thrifty
 
 GRAM = 50
 ANCHOR = 20
 WINDOW = GRAM - ANCHOR + 1
 HASH_MASK = np.uint64((1 << 48) - 1)
 #: Bytes of text worked on at once; a longer text is worked on alone.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
 
 _RNG = np.random.default_rng(7919)
 _BYTE_HASH = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
@@ -75,6 +75,15 @@ def string_hashes(data: np.ndarray, size: int) -> np.ndarray:
     return h
 
 
+def hashes_at(data: np.ndarray, positions: np.ndarray, size: int) -> np.ndarray:
+    """Another hash of the size bytes at some positions, where all positions' would be too many."""
+    h = np.zeros(len(positions), np.uint64)
+    for k in range(size):
+        h = h * _MULTIPLIERS[0] + _BYTE_HASH[data[positions + k]]
+        h ^= h >> np.uint64(29)
+    return h
+
+
 def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of each run of windows with one anchor: document's index, hash, first window, number of windows, anchor's position.
 
@@ -394,7 +403,9 @@ def settle_stretches(buckets: int):
         ids, keys, first, count = (np.concatenate(x) for x in zip(*removed))
         order = np.lexsort((first, keys, ids))
         ids, keys, first, count = (x[order] for x in (ids, keys, first, count))
-        return _table([(b, _pack(ids[k], keys[k], first[k], count[k])) for b, k in _deal(ids, buckets)], PACKED)
+        out = _table([(b, _pack(ids[k], keys[k], first[k], count[k])) for b, k in _deal(ids, buckets)], PACKED)
+        release_memory()
+        return out
 
     return run
 
@@ -416,7 +427,7 @@ def _settled(parts: list[list[np.ndarray]]) -> list[tuple[np.ndarray, ...]]:
     out = [tuple(x[gone] for x in (ids, keys, first, count))]
     del seen, whole, id_list
     left = np.flatnonzero(~gone)
-    anchor = string_hashes(data, ANCHOR)[start + before]
+    anchor = hashes_at(data, start + before, ANCHOR)
     _, inverse, times = np.unique(anchor[left], return_inverse=True, return_counts=True)
     left = left[times[inverse] > 1]
     left = left[np.argsort(anchor[left], kind="stable")]
@@ -506,9 +517,9 @@ def removed_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lowest = digests.groupBy("digest").agg(F.min("id").alias("low"), F.count("*").alias("n")).where("n > 1")
     copies = digests.join(lowest, "digest").where("id > low").select(*key).distinct()
     firsts = rows.join(copies, key, "left_anti")
-    shared = firsts.mapInArrow(send_anchors(buckets), PACKED_DDL).groupBy("bucket").applyInArrow(answer_anchors(buckets), PACKED_DDL)
+    shared = firsts.mapInArrow(thrifty(send_anchors(buckets)), PACKED_DDL).groupBy("bucket").applyInArrow(answer_anchors(buckets), PACKED_DDL)
     shared = shared.groupBy("bucket").applyInArrow(gather_hashes, GATHERED_DDL)
-    stretches = firsts.join(shared, key).mapInArrow(send_stretches(buckets), PACKED_DDL)
+    stretches = firsts.join(shared, key).mapInArrow(thrifty(send_stretches(buckets)), PACKED_DDL)
     windows = stretches.groupBy("bucket").applyInArrow(settle_stretches(buckets), PACKED_DDL).groupBy("bucket").applyInArrow(gather_windows, GATHERED_DDL)
     lost = windows.select(*key, F.lit(False).alias("copy"), "found").unionByName(copies.select(*key, F.lit(True).alias("copy"), F.lit(None).cast("binary").alias("found")))
     return rows, lost
@@ -517,7 +528,7 @@ def removed_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def dedup_passages(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """(id, row_hash, n_bytes, n_removed, n_spans, kept, kept_sha256), a row for each row of docs; kept is null without with_text."""
     rows, lost = removed_windows(docs)
-    return rows.join(lost, ["id", "row_hash"], "left").mapInArrow(_apply(with_text), KEPT_DDL)
+    return rows.join(lost, ["id", "row_hash"], "left").mapInArrow(thrifty(_apply(with_text)), KEPT_DDL)
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -9,10 +9,11 @@ from tidelog.functions import hlc, values
 from tidelog.operators import checkpoint, hooks, poison, staging
 from tidelog.operators.dedup import last_by_key
 from tidelog.plans import catalog
-from tidelog.plans.catalog import Table
+from tidelog.plans.catalog import Catalog, Table
+from tidelog.plans.config import SourceConfig
 from tidelog.plans.feeds import BASE, Tables, query
 from tidelog.sources import envelope, logical, objects, workload
-from tidelog.streaming import modes
+from tidelog.streaming import control, modes
 
 LOW, HIGH = BASE + 10_000, BASE + 60_000
 
@@ -334,6 +335,20 @@ def apply_hook_sql(t: Tables) -> DataFrame:
     return context.sql("SELECT v, count(*) AS n FROM batch GROUP BY v", batch=rows)
 
 
+@query("SELECT 'item' AS tbl, '[' || o_orderkey || ']' AS key, lower(o_orderstatus) AS v, false AS is_delete FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderstatus <> 'P' UNION ALL SELECT 'item', '[' || (-o_orderkey) || ']', NULL, true FROM orders WHERE o_orderkey % 11 = 0 AND o_orderkey % 2 = 0")
+def hook_pipeline(t: Tables) -> DataFrame:
+    """A source's hooks in order: target, deletes, then the table's map and key."""
+    value, k = F.get_json_object("data", "$.v"), F.get_json_object("key", "$[0]").cast("long")
+    config = SourceConfig(
+        target="item",
+        deletes_to="item",
+        map={"item": lambda doc, meta: F.when(value != "P", F.to_json(F.struct(F.get_json_object(doc, "$.k").cast("long").alias("k"), F.lower(value).alias("v"))))},
+        delete_key={"item": lambda key: F.when(k % 2 == 0, F.concat(F.lit("["), (-k).cast("string"), F.lit("]")))},
+    )
+    out = hooks.pipeline(_documents(t), config, Catalog({"item": ITEM}))
+    return out.select("tbl", "key", F.get_json_object("data", "$.v").alias("v"), "is_delete")
+
+
 # ---------------------------------------------------------------- sources
 
 
@@ -373,6 +388,18 @@ def webhook_payload(t: Tables) -> DataFrame:
     return envelope.webhook_bodies(bodies.select(value.alias("value"))).select("tbl", "key", "nanos")
 
 
+@query("SELECT 'item' AS tbl, '[' || l_orderkey || ',\"' || l_returnflag || '\"]' AS key, l_linenumber % 3 = 0 AS is_delete FROM lineitem WHERE l_linenumber % 4 <> 0")
+def webhook_query_payload(t: Tables) -> DataFrame:
+    """Bodies of query feeds: keys come from the sides; phantom deletes go."""
+    side = F.concat(F.lit('{"id":'), F.col("l_orderkey").cast("string"), F.lit(',"flag":"'), F.col("l_returnflag"), F.lit('"}'))
+    n = F.col("l_linenumber")
+    body = F.when(n % 4 == 0, F.lit('"after":null,"before":null')).when(n % 3 == 0, F.concat(F.lit('"after":null,"before":'), side)).otherwise(F.concat(F.lit('"after":'), side))
+    one = F.concat(F.lit("{"), body, F.lit(',"topic":"db.sch.item","updated":"5.0000000000"}'))
+    bodies = t("lineitem").groupBy("l_orderkey").agg(F.collect_list(one).alias("lines"))
+    value = F.concat(F.lit('{"payload":['), F.array_join("lines", ","), F.lit('],"length":'), F.size("lines").cast("string"), F.lit("}"))
+    return envelope.query_webhook_bodies(bodies.select(value.alias("value")), {"item": ["id", "flag"], "other": ["k"]}).select("tbl", "key", "is_delete")
+
+
 @query('SELECT part, max("offset") AS "offset" FROM messages WHERE is_resolved AND nanos < 1000000500 GROUP BY part', "messages")
 def kafka_seek_resolved(t: Tables) -> DataFrame:
     return envelope.seek(t.messages(), (BASE + 500, 0))
@@ -481,6 +508,15 @@ def poison_contagion(t: Tables) -> DataFrame:
     return poison.spread(batches, t.spark.createDataFrame([(7, 0), (190, 0)], "key long, since long"), 2)
 
 
+@query("SELECT 'l' || c_custkey AS name, 'me' AS nonce FROM customer WHERE c_custkey % 4 <> 0 OR c_custkey % 3 = 0 OR c_custkey % 5 = 0")
+def lease_acquire(t: Tables) -> DataFrame:
+    """Leases that nobody else holds: free, over, or held by the same one."""
+    name = F.concat(F.lit("l"), F.col("c_custkey").cast("string"))
+    held = t("customer").where("c_custkey % 4 = 0").select(name.alias("name"), F.when(F.col("c_custkey") % 3 == 0, 5).otherwise(50).alias("expires"), F.when(F.col("c_custkey") % 5 == 0, "me").otherwise("other").alias("nonce"))
+    wanted = t("customer").select(name.alias("name"), F.lit(99).alias("expires"), F.lit("me").alias("nonce"))
+    return control.acquire(held, wanted, F.lit(10)).select("name", "nonce")
+
+
 @query("SELECT event_type AS tbl, count(*) AS n_rows, count(*) FILTER (event_id % 9 = 0) AS n_deletes, min(event_id) AS first_id, max(event_id) AS last_id FROM events GROUP BY event_type")
 def batch_metrics(t: Tables) -> DataFrame:
     """Counters of a batch by table."""

@@ -64,6 +64,19 @@ def webhook_bodies(bodies: DataFrame) -> DataFrame:
     return _mutations(rows, F.element_at(F.split("e.topic", r"\."), -1), _json(F.col("e.key")))
 
 
+def query_webhook_bodies(bodies: DataFrame, keys: dict[str, list[str]]) -> DataFrame:
+    """The same for feeds of queries, whose lines carry no key: it comes from the sides, by the key columns of the topic's table. Phantom deletes go, other topics are an error."""
+    rows = bodies.where(F.trim("value") != "").withColumn("b", F.from_json("value", f"payload array<struct<{_struct(BULK)}>>, length int")).where("b.payload IS NOT NULL")
+    rows = rows.select(F.explode("b.payload").alias("e")).withColumn("tbl", F.element_at(F.split("e.topic", r"\."), -1)).withColumn("value", F.to_json("e"))
+    known = F.when(F.col("tbl").isin(*keys), F.col("tbl")).otherwise(F.raise_error(F.concat(F.lit("unknown topic: "), F.coalesce("e.topic", F.lit("null")))).cast("string"))
+    rows = rows.withColumn("tbl", known)
+    out = None
+    for name, columns in keys.items():
+        one = query_lines(rows.where(F.col("tbl") == name), F.lit(name), columns)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def _struct(ddl: str) -> str:
     return ",".join(":".join(part.strip().split(" ", 1)) for part in ddl.split(","))
 

@@ -11,10 +11,19 @@ from tidelog.sources import envelope
 MARKER = r"(?:^|/)([0-9]{33})\.RESOLVED$"
 
 
-def listing(spark: SparkSession, folder: str, after: str | None = None) -> DataFrame:
-    """(path) of a folder's files, those behind a position only."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
-    return files.where(F.col("path") > after) if after else files
+def listing(spark: SparkSession, folder: str, after: str | None = None, limit: int | None = None, recursive: bool = True) -> DataFrame:
+    """(path) of a folder's files, empty ones as well: those behind a position, the first so many in order.
+
+    The store's listing goes through the driver, as every listing does; it holds names, not contents.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found, paths = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, recursive), []
+    while found.hasNext():
+        path = found.next().getPath().toString()
+        if not after or path > after:
+            paths.append((path,))
+    paths.sort()
+    return spark.createDataFrame(paths[:limit], "path string")
 
 
 def ranges(paths: DataFrame) -> DataFrame:

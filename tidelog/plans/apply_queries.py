@@ -106,17 +106,16 @@ def apply_default_fill(t: Tables) -> DataFrame:
     return out.select("id", "size", "brand")
 
 
-@query("SELECT 2 * p_partkey AS id, p_brand || ' world!' AS brand, 'constant' AS name FROM part WHERE p_partkey % 3 <> 0 AND p_partkey % 5 <> 0")
+@query("SELECT 2 * p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN 'none' WHEN p_partkey % 5 <> 0 THEN p_brand || ' world!' END AS brand, 'constant' AS name FROM part")
 def apply_expr_columns(t: Tables) -> DataFrame:
     config = TableConfig(exprs={"id": "2 * $0", "brand": "$0 || ' world!'", "name": "'constant'"})
-    rows = _payloads(t, "id", "size", "brand").where("seq % 3 <> 0 AND seq % 5 <> 0")
-    return mapping.valid(mapping.map_columns(rows, PARTS, config)).select("id", "brand", "name")
+    return mapping.valid(mapping.map_columns(_payloads(t, "id", "size", "brand"), PARTS, config)).select("id", "brand", "name")
 
 
-@query("SELECT 2 * o_orderkey AS id, o_orderkey % 4 <> 0 AS arity FROM orders WHERE o_orderkey % 11 = 0")
+@query("SELECT 2 * o_orderkey AS id, o_orderkey % 4 <> 0 AS arity FROM orders")
 def delete_key_exprs(t: Tables) -> DataFrame:
     """Replacement expressions apply to the keys of deletes; keys of another length are told apart."""
-    keys = t("orders").where("o_orderkey % 11 = 0").selectExpr("CASE WHEN o_orderkey % 4 = 0 THEN concat('[', o_orderkey, ',1]') ELSE concat('[', o_orderkey, ']') END AS key")
+    keys = t("orders").selectExpr("CASE WHEN o_orderkey % 4 = 0 THEN concat('[', o_orderkey, ',1]') ELSE concat('[', o_orderkey, ']') END AS key")
     return mapping.delete_keys(keys, PARTS, TableConfig(exprs={"id": "2 * $0"}))
 
 

@@ -88,6 +88,7 @@ def test_edge_cases(spark):
     assert found[None].lang_pred == found[305].lang_pred == "en" and found[303].lang_pred in ("de", "en")
     kept = langid.keep_accepted(df)
     stay = {r.doc_id for r in kept.collect()}
+    assert {r.lang_pred for r in kept.collect()} == {1}
     assert kept.columns == df.columns and stay >= set(range(40)) | set(range(100, 140)) and not stay & {300, 301, 302, 306}
     assert langid.query(df.where("false")).count() == 0
     unlabelled = langid.query(df.withColumn("lang", F.lit(None).cast("string"))).collect()

@@ -307,19 +307,19 @@ def sample(docs: DataFrame) -> list[tuple[str, str]]:
     return [(r.lang, r.text) for r in sorted(rows, key=lambda r: (r.doc_id, r.lang, r.text))]
 
 
-def predict(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """docs with lang_pred, lang_score and lang_accepted; without a model, one is fitted on docs' labelled rows."""
+def predict(docs: DataFrame, model: Model | None = None, prefix: str = "lang_") -> DataFrame:
+    """docs with three columns of that prefix, which replace any of their names: pred, score and accepted. Without a model, one is fitted on docs' labelled rows."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model or fit(sample(docs)))
-    docs = docs.drop("lang_pred", "lang_score", "lang_accepted")
-    more = [T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType()), T.StructField("lang_accepted", T.BooleanType())]
+    more = [T.StructField(f"{prefix}pred", T.StringType()), T.StructField(f"{prefix}score", T.DoubleType()), T.StructField(f"{prefix}accepted", T.BooleanType())]
+    docs = docs.drop(*(f.name for f in more))
     schema = T.StructType([*docs.schema.fields, *more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, score, accepted = shared.value.predict(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names), pa.array(score), pa.array(accepted)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(accepted, pa.bool_())], names=schema.names)
 
     return docs.mapInArrow(thrifty(run), schema)
 
@@ -332,5 +332,4 @@ def query(docs: DataFrame) -> DataFrame:
 
 def keep_accepted(docs: DataFrame) -> DataFrame:
     """docs without the rows that the models reject."""
-    model = fit(sample(docs))
-    return predict(docs, model).where("lang_accepted").select(*docs.columns)
+    return predict(docs, fit(sample(docs)), "__lang_").where("__lang_accepted").select(*docs.columns)

@@ -58,7 +58,7 @@ def test_empty_and_useless_tables(spark):
 def test_recall(spark, monkeypatch, cell_rows, cell_queries):
     monkeypatch.setattr(ann, "CELL_ROWS", cell_rows)
     monkeypatch.setattr(ann, "CELL_QUERIES", cell_queries)
-    monkeypatch.setattr(ann, "LEAST_PROBED", 4)
+    monkeypatch.setattr(ann, "LEAST_PROBED", 1)
     rows = corpus(4000, copies=1200)
     out = ann.query(spark.createDataFrame(rows, SCHEMA)).collect()
     usable = clean(rows, 16)
@@ -90,3 +90,16 @@ def test_rotation_keeps_distances():
 def test_any_rows_can_ask(spark):
     df = spark.createDataFrame(corpus(100), SCHEMA)
     assert {r.query_id for r in ann.search(df, F.col("vec_id") < 3).collect()} == {0, 1, 2}
+
+
+def test_vectors_without_clusters(spark):
+    """Where no list is near, many are scanned."""
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.standard_normal(32).tolist(), 0) for i in range(3000)]
+    out = ann.query(spark.createDataFrame(rows, SCHEMA)).collect()
+    usable = clean(rows, 32)
+    found = {}
+    for r in out:
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = sum(len(found[q[0]] & {i for i, _ in brute(usable, q)}) for q in usable[::150])
+    assert hits >= 0.9 * 5 * len(usable[::150])

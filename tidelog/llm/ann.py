@@ -7,7 +7,8 @@ candidate is abandoned once its estimate exceeds the current fifth best distance
 more than a hypothesis test allows. Survivors are scored exactly, in double precision on the
 original vectors.
 
-Centroids are fitted on a bounded sample (SAMPLE vectors, by a hash of vec_id); every vector is indexed.
+Centroids are fitted on a bounded sample (SAMPLE vectors, by a hash of vec_id); every vector is indexed. How many
+lists a query scans is measured on the same sample, against brute force in it: few where vectors form clusters, many where they don't.
 Lists are split into cells of bounded size, by candidates and by queries, so that one list with a third of
 all vectors is spread over many tasks; each cell sends its best for each query.
 
@@ -25,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import shared_checkpoints
+from tidelog.llm.common import shared_checkpoints, workers_import
 
 SAMPLE = 20_000
 MAX_LISTS = 1024
-#: Share of lists that a query scans, and how many at least.
-PROBED, LEAST_PROBED = 0.2, 24
+#: Share of true neighbours that must lie in the scanned lists, how many of the sample's vectors measure it, and how many lists are scanned at least.
+RECALL, MEASURED, LEAST_PROBED = 0.97, 400, 8
 #: Rows of a cell at most, about: candidates, queries.
 CELL_ROWS, CELL_QUERIES = 20_000, 2_000
 BLOCK = 16
@@ -76,6 +77,21 @@ def centroids(sample: np.ndarray, lists: int, rounds: int = 10) -> np.ndarray:
     return c
 
 
+def probes_needed(sample: np.ndarray, middle: np.ndarray, recall: float = RECALL) -> int:
+    """How many nearest lists hold that share of the sample's neighbours of some of its own vectors."""
+    own = (sample @ middle.T).argmax(axis=1)
+    ranks = []
+    for q in np.linspace(0, len(sample) - 1, min(MEASURED, len(sample))).astype(int):
+        near = sample @ sample[q]
+        near[q] = -np.inf
+        best = np.argpartition(-near, min(K, len(sample) - 1) - 1)[:K] if len(sample) > 1 else np.zeros(0, int)
+        order = np.argsort(-(middle @ sample[q]), kind="stable")
+        place = np.empty(len(order), int)
+        place[order] = np.arange(len(order))
+        ranks += place[own[best]].tolist()
+    return int(np.quantile(ranks, recall, method="higher")) + 1 if ranks else 1
+
+
 def scan(query: np.ndarray, vectors: np.ndarray, k: int = K) -> np.ndarray:
     """Indexes of the rotated vectors that may be among the query's k nearest, ties at the bound included."""
     n, d = vectors.shape
@@ -142,10 +158,11 @@ def valid_vectors(df: DataFrame) -> DataFrame:
     return rows.where(F.size("embedding") == (usual.d if usual else 0))
 
 
-def search(df: DataFrame, is_query, probed: float = PROBED) -> DataFrame:
+def search(df: DataFrame, is_query, recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score): the K nearest found of each row for which the condition holds."""
     spark = df.sparkSession
     shared_checkpoints(spark)
+    workers_import(spark)
     rows = valid_vectors(df)
     n = rows.count()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -156,7 +173,7 @@ def search(df: DataFrame, is_query, probed: float = PROBED) -> DataFrame:
     turn = rotation(sample.shape[1])
     lists = max(1, min(MAX_LISTS, len(sample), int(math.sqrt(n))))
     middle = centroids(sample @ turn, lists)
-    probes = min(lists, max(LEAST_PROBED, math.ceil(probed * lists)))
+    probes = min(lists, max(LEAST_PROBED, probes_needed(sample @ turn, middle, recall)))
 
     def assign(batches):
         for batch in batches:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,8 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers that share this machine's files import this package from where the driver has it; elsewhere it must be installed or sent along."""
+    environment = spark.sparkContext.environment
+    here = str(Path(__file__).resolve().parents[2])
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if here not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, here])
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the memory of Python workers: whole texts travel, so few rows travel at once."""
+    workers_import(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 

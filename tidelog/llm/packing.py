@@ -12,7 +12,7 @@ place is the minimum of f(start) + start over the places within CAP before it: a
 sliding minimum, kept in a monotone queue. Windows whose length is a power of two
 need no padding and are tried besides. The line is planned some million tokens at a
 time; the last window of one plan is carried into the next, so that only a
-partition's last window ends early.
+partition's last window ends early; that one is cut into powers of two if it is far from full.
 
 Partitions are taken as they come: nothing is shuffled, and memory is bounded by the plan's
 size plus the longest document. Null texts count as empty: their end token alone is packed.
@@ -42,6 +42,8 @@ SENTENCE_CUT, INNER_CUT, WINDOW_COST = 8.0, 64.0, 16.0
 #: Stretches longer than this without a place to cut get places inside, this far apart.
 INNER_STEP = 512
 POWERS = [256, 512, 1024]
+#: A partition's last window that would need more padding than this is cut into powers of two, which need none.
+TAIL_PADDING = 256
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 PIECES_DDL = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -125,6 +127,15 @@ def best_cuts(at: np.ndarray, cost: np.ndarray, cap: int = CAP) -> list[int]:
     return cuts[::-1]
 
 
+def whole_tail(cuts: np.ndarray) -> np.ndarray:
+    """cuts with the last window split at its binary digits, largest first, if it is far from full."""
+    size = int(cuts[-1] - cuts[-2])
+    if CAP - size <= TAIL_PADDING:
+        return cuts
+    parts = [1 << k for k in range(size.bit_length() - 1, -1, -1) if size >> k & 1]
+    return np.concatenate((cuts[:-1], cuts[-2] + np.cumsum(parts)))
+
+
 class Packer:
     """Packs one partition's documents in their order."""
 
@@ -150,6 +161,8 @@ class Packer:
         cuts = at[best_cuts(at, cost)]
         if not last and len(cuts) > 2:
             cuts = cuts[:-1]
+        elif last:
+            cuts = whole_tail(cuts)
         stop = int(cuts[-1])
         bounds = np.unique(np.concatenate((cuts, ends[ends < stop])))
         doc = np.searchsorted(ends, bounds[:-1], side="right").tolist()

@@ -78,6 +78,7 @@ def test_nearest_smaller():
 def test_documents_without_later_copies(spark):
     passage = "a passage that is far longer than fifty bytes, as passages are — é"
     df = spark.createDataFrame([(1, f"one {passage} end", 5), (2, f"two {passage} fin", 5), (3, f"one {passage} end", 5), (4, None, 5), (5, "", 5)], "doc_id long, text string, n_chars long")
+    assert suffix_dedup.dedup_documents(df.union(df)).count() == 8
     out = {r.doc_id: r.text for r in suffix_dedup.dedup_documents(df).collect()}
     assert set(out) == {1, 2, 4, 5} and out[1] == f"one {passage} end" and out[2] == "twofin" and out[4] is None
 

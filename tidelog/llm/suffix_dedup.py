@@ -37,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import NULL_ID, batches_of, order_id, release_memory, shuffle_partitions, small_batches, text_bytes, thrifty
@@ -500,18 +500,21 @@ def _apply(with_text: bool):
     return run
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
     text = F.col("text").cast("string")
-    return docs.select(order_id().alias("id"), F.xxhash64(order_id(), text).alias("row_hash"), text_bytes().alias("data"))
+    return docs.select(order_id().alias("id"), F.xxhash64(order_id(), text).alias("row_hash"), text_bytes().alias("data"), *more)
 
 
-def removed_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The keyed documents (id, row_hash, data), and of those that lose something (id, row_hash, copy, found): a later copy of a whole text, or the windows that go."""
+def removed_windows(docs: DataFrame, *more: Column) -> tuple[DataFrame, DataFrame]:
+    """The keyed documents (id, row_hash, data, more), and of those that lose something (id, row_hash, copy, found): a later copy of a whole text, or the windows that go.
+
+    More columns travel with the documents all the way, so that a join with the result finds them in the exchange that the search made.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     buckets = shuffle_partitions(spark)
     key = ["id", "row_hash"]
-    rows = _keyed(docs)  # dealt out by key for three joins; the plans are equal, so the exchange is made once
+    rows = _keyed(docs, *more)  # dealt out by key for three joins; the plans are equal, so the exchange is made once
     # the digests stand for whole texts: 256 bits of SHA-2
     digests = _keyed(docs).where(F.length("data") >= GRAM).select(*key, F.sha2("data", 256).alias("digest"))
     lowest = digests.groupBy("digest").agg(F.min("id").alias("low"), F.count("*").alias("n")).where("n > 1")
@@ -545,20 +548,18 @@ def dedup_documents(docs: DataFrame) -> DataFrame:
 
     A cut inside a character drops the character's remaining bytes. Documents that lose nothing come back as they are.
     """
-    keyed = docs.withColumn("__id", order_id()).withColumn("__hash", F.xxhash64(order_id(), F.col("text").cast("string")))
-    _, lost = removed_windows(docs)
-    lost = lost.select(F.col("id").alias("__id"), F.col("row_hash").alias("__hash"), F.col("copy").alias("__copy"), F.col("found").alias("__found"))
-    cut = F.pandas_udf(_cut_texts, "string")
-    joined = keyed.join(lost, ["__id", "__hash"], "left")
-    changed = F.col("__copy").isNotNull()
-    out = joined.withColumn("text", F.when(changed, cut("text", "__found", "__copy")).otherwise(F.col("text")))
-    out = out.where(~changed | (F.trim(F.col("text")) != ""))
+    rest = F.struct(F.col("text").isNull().alias("__null"), *(F.col(c) for c in docs.columns if c != "text")).alias("rest")
+    rows, lost = removed_windows(docs, rest)
+    cut = F.pandas_udf(_cut_texts, "string").asNondeterministic()  # else it would run once for the filter and once for the result
+    changed = F.col("copy").isNotNull()
+    joined = rows.join(lost, ["id", "row_hash"], "left").select(changed.alias("__changed"), F.when(changed, cut("data", "found", "copy")).otherwise(F.col("data").cast("string")).alias("__text"), "rest.*")
+    out = joined.where(~F.col("__changed") | (F.trim("__text") != "")).withColumn("text", F.when(~F.col("__null"), F.col("__text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col("__changed"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 
-def _cut_texts(texts, windows, copies):
+def _cut_texts(data, windows, copies):
     import pandas as pd
 
-    return pd.Series([t if c is None or c != c else _kept((t or "").encode(), w, c)[0].decode(errors="ignore") for t, w, c in zip(texts, windows, copies)])
+    return pd.Series([None if c is None or c != c else _kept(bytes(d), w, c)[0].decode(errors="ignore") for d, w, c in zip(data, windows, copies)])

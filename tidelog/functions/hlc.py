@@ -61,7 +61,9 @@ def after(nanos: Column, logical: Column) -> Column:
 
 def resolved_name(digits: Column) -> Column:
     """Clock of a resolved marker: YYYYMMDDHHMMSS, nine digits of nanoseconds, ten of the logical part."""
-    seconds = F.unix_timestamp(F.to_timestamp(F.substring(digits, 1, 14), "yyyyMMddHHmmss"))
+    part = lambda start: F.substring(digits, start, 2).cast("long")
+    days = F.datediff(F.to_date(F.substring(digits, 1, 8), "yyyyMMdd"), F.lit("1970-01-01").cast("date")).cast("long")
+    seconds = days * 86400 + part(9) * 3600 + part(11) * 60 + part(13)  # UTC in any session
     return F.struct((seconds * 1000000000 + F.substring(digits, 15, 9).cast("long")).alias("nanos"), F.substring(digits, 24, 10).cast("int").alias("logical"))
 
 

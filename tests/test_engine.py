@@ -9,7 +9,7 @@ from tidelog.operators.dedup import last_by_key
 from tidelog.operators.target import difference
 from tidelog.plans.catalog import Catalog, Table, orphans
 from tidelog.plans.config import TableConfig
-from tidelog.sources import workload
+from tidelog.sources import envelope, workload
 from tidelog.streaming.engine import Engine
 
 TABLES = {"parent": Table.of("parent", "id long, val long", ("id",)), "child": Table.of("child", "id long, parent long, val long", ("id",))}
@@ -102,6 +102,18 @@ def test_orphans_wait_in_best_effort_mode(spark, tmp_path):
     assert sorted((r.id, r.val) for r in e.table("child").collect()) == [(1, 2), (2, 1)]
 
 
+def test_a_stream_of_files_feeds_the_engine(spark, tmp_path):
+    landing, e = tmp_path / "in", engine(spark, tmp_path / "out", "consistent")
+    landing.mkdir()
+    for n, ids in enumerate(([1, 2], [2, 3])):
+        (landing / f"{n}.ndjson").write_text("".join('{"after":{"id":%d,"val":%d},"key":[%d],"updated":"%d.0000000000"}\n' % (i, 10 * n + i, i, n + 1) for i in ids))
+        lines = spark.readStream.format("text").load(str(landing))
+        rows = envelope.bulk_lines(lines, F.lit("parent")).withColumn("seq", F.col("nanos"))
+        e.start(rows, str(tmp_path / "progress")).awaitTermination()
+    e.advance("p", 5)
+    assert e.sweep() and sorted((r.id, r.val) for r in e.table("parent").collect()) == [(1, 1), (2, 12), (3, 13)]
+
+
 def test_violations_change_nothing(spark, tmp_path):
     e = engine(spark, tmp_path, "immediate")
     with pytest.raises(ValueError, match="unexpected columns: x"):

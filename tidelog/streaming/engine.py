@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.functions import hlc
 from tidelog.operators import checkpoint, hooks, mapping, resolve, staging
@@ -95,6 +96,10 @@ class Engine:
             later.unpersist()
         return True
 
+    def start(self, stream: DataFrame, folder: str, trigger: dict | None = None, as_of: Column | None = None) -> StreamingQuery:
+        """Accepts a stream of mutations batch by batch; the folder holds the stream's own progress."""
+        return stream.writeStream.foreachBatch(lambda batch, number: self.accept(batch, number, as_of)).option("checkpointLocation", folder).trigger(**(trigger or {"availableNow": True})).start()
+
     def _split(self, rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         """Rows without those of a table that must wait: behind staged ones of their key, or for a parent."""
         mine, others = rows.where(F.col("tbl") == name), rows.where(F.col("tbl") != name)

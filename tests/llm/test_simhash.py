@@ -112,6 +112,28 @@ def test_one_document_of_each_similar_class_stays(spark):
     assert found == sorted(min(order(n) for n in g) for g in groups.values())
 
 
+@pytest.mark.parametrize("block", [256, 8])
+def test_crowded_samples_lose_no_pair(spark, monkeypatch, block):
+    """Documents that share a long passage, below the similarity, fill the places before a document; pairs above it are found all the same."""
+    monkeypatch.setattr(simhash, "NEIGHBOURS", 1)
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng = random.Random(12)
+    passage = [f"p{k}" for k in range(304)]
+    own = lambda n: [f"w{rng.getrandbits(40)}" for _ in range(n)]
+    docs = [" ".join(passage + own(60)) for _ in range(120)]
+    for _ in range(15):  # pairs at 0.818: 300 + 24 shingles of 396 are shared
+        common = own(24)
+        docs += [" ".join(passage + common + own(36)) for _ in range(2)]
+    docs += [" ".join(passage + own(rng.randrange(80, 400))) for _ in range(20)]
+    close = passage + own(60)
+    docs += [" ".join([*close[: 305 + k], f"n{k}", *close[306 + k :]]) for k in range(40)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    found = {r.id: r.component for r in simhash.similar(df).collect()}
+    sets = {i: set(simhash._shingle_set(t.encode(), 5).tolist()) for i, t in enumerate(docs)}
+    expected = classes(list(sets), lambda x, y: len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y]))
+    assert len({(found[i], expected[i]) for i in found}) == len(set(found.values())) == len(set(expected.values())) < len(docs) - 50
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.query(df).count() == 0 and simhash.keep_firsts(df).count() == 0

@@ -21,6 +21,7 @@ and comes back null. Rows of one doc_id have one row each. An empty table gives
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -150,8 +151,10 @@ def query(docs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- documents of a given similarity
 
 SIMILARITY = 0.8
-#: Samples of each document, shingles of each, and how many documents before it in a sample's order one is compared with.
+#: Samples of each document, shingles of each, and how many documents before it in a sample's order one is compared with at first.
 VIEWS, VIEW_SHINGLES, NEIGHBOURS = 16, 4, 5
+#: Where more share a sample, blocks of this many are compared in full; shingles that are counted at once.
+BLOCK, COLUMNS = 256, 4096
 _VIEW_MULTIPLIERS = np.random.default_rng(6151).integers(0, 2**64, VIEWS, dtype=np.uint64) | np.uint64(1)
 VERIFIED = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -189,9 +192,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(order_id().alias("id"), F.xxhash64(order_id(), F.col("text").cast("string")).alias("row_hash"), text_bytes().alias("data"))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Pairs of nodes (a, b) whose sets of shingles have that similarity; one document of each node is read for its set."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _sets(nodes: DataFrame, docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of nodes; one document of each is read for its set."""
     owners = rows.join(nodes, "node").groupBy("node").agg(F.min(F.struct("id", "row_hash")).alias("o")).select("node", "o.id", "o.row_hash")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +201,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, words: int, si
             made = [_shingle_set(x, words).tobytes() for x in batch.column("data").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.binary())], names=["node", "shingles"])
 
-    texts = _keyed(docs).join(owners, ["id", "row_hash"]).dropDuplicates(["node"]).select("node", "data").mapInArrow(thrifty(sets), "node long, shingles binary")
+    return _keyed(docs).join(owners, ["id", "row_hash"]).dropDuplicates(["node"]).select("node", "data").mapInArrow(thrifty(sets), "node long, shingles binary")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Pairs of nodes (a, b) whose sets of shingles have that similarity."""
+    texts = _sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), docs, rows, words)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,6 +221,78 @@ def _verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, words: int, si
     return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(thrifty(check), "a long, b long")
 
 
+def near_classes(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """For each set the first one that it reaches by pairs of that similarity; all pairs are compared."""
+    size = np.array([len(s) for s in sets], np.int64)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner, common = np.repeat(np.arange(len(sets)), size), count[column] > 1
+    renumbered = np.cumsum(count > 1) - 1
+    owner, column = owner[common], renumbered[column[common]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)  # whole numbers, exact to 2**24
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        here = slice(*np.searchsorted(column, (low, low + COLUMNS)))
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[owner[here], column[here] - low] = 1
+        both += has @ has.T
+    shared = both.astype(np.int64)
+    near = shared >= similarity * (size[:, None] + size[None, :] - shared)
+    first = np.full(len(sets), -1)
+    for k in range(len(sets)):
+        reached = np.array([k]) if first[k] < 0 else np.array([], np.int64)
+        while len(reached):
+            first[reached] = k
+            reached = np.flatnonzero(near[reached].any(axis=0) & (first < 0))
+    return first
+
+
+def _crowds(views: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """(cell, node): nodes to compare with all others of their cell, so that all pairs meet that share a sample, may have that similarity and aren't connected in found (node, component).
+
+    Only samples that more than NEIGHBOURS + 1 share and that hold several components are left. Their members are
+    dealt out by size, in classes so wide that similar sets are in one class or neighbouring ones, and a class is met by the one
+    below it. What is larger than BLOCK is cut into blocks, each pair of which is a cell. A component of
+    more than BLOCK members has blocks of its own, which meet those of the others alone.
+    """
+    bin_ = ["view", "print"]
+    width = 1.001 * max(-math.log(similarity), 0.01)
+    labelled = views.select("node", "n", *bin_).join(found, "node", "left").select("node", "n", *bin_, F.coalesce("component", "node").alias("label"))
+    mixed = labelled.groupBy(*bin_).agg(F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = mixed.where((F.col("members") > NEIGHBOURS + 1) & (F.col("low") < F.col("high"))).select(*bin_)
+    group = [*bin_, "sizes"]
+    own = F.floor(F.log(F.col("n").cast("double")) / F.lit(width)).cast("int")
+    members = labelled.join(mixed, bin_).select("node", "label", *bin_, F.posexplode(F.array(own, own + 1)).alias("above", "sizes")).checkpoint()
+    parts = members.groupBy(*group, "label").agg(F.count("*").alias("members"), F.min("above").alias("above"))
+    groups = parts.groupBy(*group).agg(F.sum("members").alias("members"), F.max(F.struct("members", "label")).alias("top"), F.count("*").alias("labels"), F.min("above").alias("above"))
+    groups = groups.where("labels > 1 AND above = 0")  # the class itself has members, not just the one below it
+    large = F.when(F.col("top.members") > BLOCK, F.col("top.members")).otherwise(F.lit(0))
+    blocks = lambda c: F.ceil(c / F.lit(BLOCK)).cast("int")
+    groups = groups.select(*group, F.when(large > 0, F.col("top.label")).alias("top"), blocks(large).alias("tops"), blocks(F.col("members") - large).alias("others"))
+    dealt = members.join(groups, group).withColumn("apart", F.coalesce(F.col("label") == F.col("top"), F.lit(False)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node", "view"), F.when(F.col("apart"), F.col("tops")).otherwise(F.col("others")).cast("long")).cast("int"))
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    block = F.col("block")
+    meet = F.transform(upto(F.col("others")), lambda k: F.struct(F.lit(0).alias("kind"), F.least(block, k).alias("i"), F.greatest(block, k).alias("j")))
+    with_top = F.transform(upto(F.col("tops")), lambda k: F.struct(F.lit(1).alias("kind"), block.alias("i"), k.alias("j")))
+    as_top = F.transform(upto(F.col("others")), lambda k: F.struct(F.lit(1).alias("kind"), k.alias("i"), block.alias("j")))
+    cells = F.when(F.col("apart"), as_top).otherwise(F.concat(meet, with_top))
+    return dealt.select("node", *group, F.explode(cells).alias("at")).select(F.struct(*group, "at").alias("cell"), "node")
+
+
+def _crowd_links(cells: DataFrame, docs: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(a, b): links of nodes that meet in a cell; their components are those of all its pairs of that similarity."""
+    texts = _sets(cells.select("node").distinct(), docs, rows, words)
+
+    def compare(table: pa.Table) -> pa.Table:
+        nodes = table.column("node").to_numpy()
+        first = near_classes([np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()], similarity)
+        linked = np.flatnonzero(first != np.arange(len(nodes)))
+        return pa.Table.from_arrays([pa.array(nodes[linked]), pa.array(nodes[first[linked]])], schema=VERIFIED)
+
+    return cells.join(texts, "node").groupBy("cell").applyInArrow(compare, "a long, b long")
+
+
 def similar(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
     """(id, row_hash, component): classes of documents whose sets of word shingles have that Jaccard similarity, directly or through others.
 
@@ -222,7 +301,8 @@ def similar(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY) ->
     two times in five, and in one of sixteen samples all but surely (2 in 10,000 pairs are missed). Samples' fingerprints
     meet in grid points, at radius 0, and candidates are verified on all shingles.
     In a point's order by this and the following samples, each document is compared with the NEIGHBOURS before it: with
-    all where a few meet, with the likest where many do, whose classes the sixteen orders join.
+    all where a few meet, with the likest where many do. That joins most of what is alike; where many meet, all pairs
+    that it didn't connect are compared after that, so every pair that shares a sample is verified or connected by others.
     """
     shared_checkpoints(docs.sparkSession)
     rows = _sketches(docs, words).checkpoint()
@@ -236,6 +316,10 @@ def similar(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY) ->
     pairs = pairs.where((F.least("n", "o.n") >= similarity * F.greatest("n", "o.n")))
     pairs = pairs.select(F.least("a", "o.node").alias("a"), F.greatest("a", "o.node").alias("b")).distinct().checkpoint()
     found = components(_verified(pairs, docs, rows, words, similarity))
+    cells = _crowds(views, found, similarity).checkpoint()
+    more = _crowd_links(cells, docs, rows, words, similarity).checkpoint()
+    if not more.isEmpty():
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     return rows.join(found, "node", "left").select("id", "row_hash", F.coalesce("component", "node").alias("component"))
 
 

@@ -284,6 +284,23 @@ def test_poison():
         held.mark([4])
 
 
+def fold(batches, keys):
+    held = poison.PoisonSet()
+    held.mark(keys)
+    of = {}
+    for batch, key in batches:
+        of.setdefault(batch, set()).add(key)
+    return {batch for batch in sorted(of) if held.touches(of[batch])}
+
+
+def test_contagion_is_the_fold(spark, small):
+    chain = [(b, k) for b in range(1, 12) for k in (b, b + 1)] + [(0, 5), (20, 50)]
+    orders = spark.read.parquet(f"{small}/orders.parquet").select(F.col("o_custkey").alias("batch"), (F.col("o_orderkey") % 400).alias("key")).distinct()
+    for batches, keys in ((spark.createDataFrame(chain, "batch long, key long"), [1]), (orders, [7, 190])):
+        held = {r.batch for r in poison.spread(batches, spark.createDataFrame([(k, 0) for k in keys], "key long, since long")).collect()}
+        assert held == fold(map(tuple, batches.collect()), keys) and len(held) >= 11
+
+
 def test_custom_strategy_must_exist(spark):
     with pytest.raises(ValueError):
         sink.apply_custom(spark.range(1), spark.range(1), ["id"], "none")

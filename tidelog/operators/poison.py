@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,14 +37,31 @@ class PoisonSet:
         return True
 
 
-def spread(batches: DataFrame, poisoned: DataFrame, rounds: int) -> DataFrame:
+def _checkpoints(spark: SparkSession) -> None:
+    """Make checkpoint() usable: a folder is made only where none is set."""
+    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidelog-checkpoints-"))
+
+
+def spread(batches: DataFrame, poisoned: DataFrame, rounds: int | None = None) -> DataFrame:
     """Batches (batch, key) held back by poisoned (key, since): those that touch a key poisoned in an earlier batch, and, each round, those that touch keys of batches held back.
 
-    The fold over ordered batches as a fixed number of joins: exact where chains are no longer than rounds.
+    The fold over ordered batches as joins: without rounds they go on, each checkpointed, until no key is poisoned anew or earlier,
+    which gives what PoisonSet gives; with rounds, chains longer than those are cut.
     """
-    bad = poisoned.select("key", "since")
-    for _ in range(rounds):
+    bad = poisoned.groupBy("key").agg(F.min(F.col("since").cast("long")).alias("since"))
+    if rounds is None:
+        _checkpoints(batches.sparkSession)
+    done, seen = 0, None
+    while done != rounds:
         held = batches.join(bad, "key").where(F.col("batch") >= F.col("since")).select("batch").distinct()
         more = batches.join(held, "batch").select("key", F.col("batch").alias("since"))
         bad = bad.union(more).groupBy("key").agg(F.min("since").alias("since"))
+        done += 1
+        if rounds is None:
+            bad = bad.checkpoint()
+            state = bad.agg(F.count("*").alias("n"), F.sum(F.col("since").cast("decimal(38,0)")).alias("s")).first()
+            if seen == state:
+                break
+            seen = state
     return batches.join(bad, "key").where(F.col("batch") >= F.col("since")).select("batch").distinct()

@@ -93,3 +93,14 @@ def test_edge_cases(spark):
     assert langid.query(df.where("false")).count() == 0
     unlabelled = langid.query(df.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {r.lang_pred for r in unlabelled} == {"und"} and sum(r.accepted for r in unlabelled) == 85
+
+
+def test_every_labelled_language_is_learned(spark):
+    """However many there are, and wherever in the alphabet: each has letters of its own."""
+    rng = random.Random(7)
+    text = lambda k: " ".join("".join(chr(0x4E00 + 8 * k + rng.randrange(8)) for _ in range(6)) for _ in range(6))
+    rows = [(8 * k + j, text(k), f"l{k:03}") for k in range(210) for j in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in langid.query(df).collect()}
+    assert all(found[i].lang_pred == lang for i, _, lang in rows)
+    assert langid.keep_accepted(df).where("lang >= 'l200'").count() >= 79

@@ -6,8 +6,8 @@ cross-entropy per character. Texts whose cross-entropy lies far above that of la
 kept out of training (by a margin that widens for short texts) are rejected.
 
 Texts are folded before: letters in lower case, every run of other characters one space. The models
-learn from a bounded sample of labelled rows, at most SAMPLE_ROWS for each of at most
-MAX_LANGUAGES languages, chosen by a hash of doc_id among texts of up to SAMPLE_CHARS characters (longer ones only
+learn from a bounded sample of labelled rows, at most SAMPLE_ROWS for each
+language, chosen by a hash of doc_id among texts of up to SAMPLE_CHARS characters (longer ones only
 where a language has too few); every text is scored whole.
 
 A null text, and one without a letter, is `und` with score 0 and is rejected. Without labelled rows nothing is
@@ -32,7 +32,6 @@ ORDER = 4
 DISCOUNT = 0.75
 SAMPLE_ROWS = 200
 SAMPLE_CHARS = 20_000
-MAX_LANGUAGES = 200
 #: Size of the alphabet that the uniform model at the bottom spreads over.
 ALPHABET = 1 << 16
 #: Texts count as this long at most when cross-entropies become a score.
@@ -296,14 +295,13 @@ def sample(docs: DataFrame) -> list[tuple[str, str]]:
     known = known.select(F.col("lang").cast("string").alias("lang"), F.col("doc_id").cast("long").alias("doc_id"), (F.length(text) > SAMPLE_CHARS).alias("long"), F.xxhash64("doc_id").alias("draw"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("long", "draw", "doc_id"))
     chosen = known.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_ROWS).drop("rank").collect()
-    languages = sorted({r.lang for r in chosen})[:MAX_LANGUAGES]
-    ids = sorted({r.doc_id for r in chosen if r.lang in languages})
+    ids = sorted({r.doc_id for r in chosen})
     if not ids:
         return []
     spark = docs.sparkSession
     wanted = spark.createDataFrame([(i,) for i in ids], "doc_id long")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text.alias("text")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rows = rows.join(F.broadcast(wanted), "doc_id", "left_semi").collect()  # SAMPLE_ROWS * MAX_LANGUAGES ids at most
+    rows = rows.join(F.broadcast(wanted), "doc_id", "left_semi").collect()  # SAMPLE_ROWS ids a language at most
     return [(r.lang, r.text) for r in sorted(rows, key=lambda r: (r.doc_id, r.lang, r.text))]
 
 

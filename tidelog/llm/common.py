@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 NULL_ID = 2**63 - 1
 #: Rows of one Arrow batch sent to a Python worker; with long texts, few rows make a batch large.
 BATCH_ROWS = 128
+#: Rows of numbers, or characters of text, that aren't worth several tasks.
+SMALL_ROWS, SMALL_CHARS = 100_000, 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +67,17 @@ def shared_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidelog-checkpoints-"))
 
 
+def few_partitions(df: DataFrame, rows: int, chars: int = 0) -> DataFrame:
+    """df, of so many rows and characters, in as few partitions as they need; a single one needs no exchange in what follows."""
+    return df.coalesce(max(1, -(-rows // SMALL_ROWS), -(-chars // SMALL_CHARS)))
+
+
+def compact(df: DataFrame, at_most: int | None = None) -> DataFrame:
+    """df of narrow rows, checkpointed, in as few partitions as its rows need; they are known to be at_most so many, if anything is known."""
+    df = (df if at_most is None else few_partitions(df, at_most)).checkpoint()
+    return few_partitions(df, df.count())
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as a table in the shared folder and read again."""
     spark = df.sparkSession

@@ -35,16 +35,24 @@ def test_cuts_are_the_cheapest():
 
 
 def test_tails_need_little_padding():
-    for size in (1, 3, 1024, 1500, 1800, 2047, 2048):
+    for size in (1, 3, 127, 128, 1024, 1025, 1500, 1800, 2047, 2048):
         cuts = packing.whole_tail(np.array([0, 2000, 2000 + size]))
         parts = np.diff(cuts).tolist()
         assert parts[0] == 2000 and sum(parts) == 2000 + size
-        assert all(p & (p - 1) == 0 for p in parts[1:]) or 2048 - size <= packing.TAIL_PADDING
+        assert all(p & (p - 1) == 0 and p >= 128 for p in parts[1:-1])
+        assert len([p for p in parts[1:] if p < 128]) <= 1
+        assert 2048 - size <= packing.TAIL_PADDING or all(p & (p - 1) == 0 or p < 128 for p in parts[1:])
+
+
+def test_few_short_sequences_over_many_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sizes = packing.query(docs.repartition(211), PATH, PATTERN).groupBy("sequence_id").agg({"length": "sum"}).toPandas()["sum(length)"]
+    assert (sizes < 128).mean() < 0.01
+    assert sum(2048 - s for s in sizes if s & (s - 1)) < 0.01 * sizes.sum()
 
 
 def check(docs, out):
     model = Tokenizer.from_file(PATH)
-    model.encode_special_tokens = True
     ids = {i: np.array([*model.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for i, t in docs}
     pieces, sequences = {}, {}
     for r in out:
@@ -73,7 +81,7 @@ def check(docs, out):
 def test_every_id_is_packed_once(spark, monkeypatch):
     rng = random.Random(4)
     text = lambda n: "".join(rng.choice(["word ", "Ünï. ", "x", "end! ", "\n", "9 "]) for _ in range(n))
-    docs = [(i, text(rng.choice([0, 1, 30, 800, 6000]))) for i in range(60)] + [(100, None), (101, "x" * 30_000), (102, "<|endoftext|> it's")]
+    docs = [(i, text(rng.choice([0, 1, 30, 800, 6000]))) for i in range(60)] + [(100, None), (101, "x" * 30_000), (102, "<|endoftext|> it's"), (103, "x<|endoftext|>y"), (104, "a <|endoftext|> <|endoftext|><|endoftext"), (105, "<|endoftext|>" * 50)]
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS ids", "2 AS start").coalesce(1)
     sizes = check(docs, packing.query(df, PATH, PATTERN).collect())
     assert sum(2048 - s for s in sizes if s & (s - 1)) < 0.03 * sum(sizes) + packing.TAIL_PADDING

@@ -12,9 +12,10 @@ place is the minimum of f(start) + start over the places within CAP before it: a
 sliding minimum, kept in a monotone queue. Windows whose length is a power of two
 need no padding and are tried besides. The line is planned some million tokens at a
 time; the last window of one plan is carried into the next, so that only a
-partition's last window ends early; that one is cut into powers of two if it is far from full.
+partition's last window ends early; that one is cut into powers of two if it is far from full, and the
+rest of less than SHORTEST tokens is padded.
 
-Partitions are taken as they come: nothing is shuffled, and memory is bounded by the plan's
+Small partitions are joined, and else taken as they come: nothing is shuffled, and memory is bounded by the plan's
 size plus the longest document. Null texts count as empty: their end token alone is packed.
 Repeated rows are packed each. An empty table gives no pieces. Other columns don't matter.
 """
@@ -42,8 +43,10 @@ SENTENCE_CUT, INNER_CUT, WINDOW_COST = 8.0, 64.0, 16.0
 #: Stretches longer than this without a place to cut get places inside, this far apart.
 INNER_STEP = 512
 POWERS = [256, 512, 1024]
-#: A partition's last window that would need more padding than this is cut into powers of two, which need none.
-TAIL_PADDING = 256
+#: A partition's last window that would need more padding than this is cut into powers of two from the shortest on, which need none, and a rest.
+TAIL_PADDING, SHORTEST = 256, 128
+#: Partitions are joined, where they lie, until they hold so many bytes each by the plan's estimate: each has a rest.
+PARTITION_BYTES = 8 << 20
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 PIECES_DDL = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -57,20 +60,20 @@ def byte_symbols() -> dict[str, int]:
 
 
 class Encoder:
-    """A byte-level BPE vocabulary file's ids, special strings in a text being ordinary text."""
+    """A byte-level BPE vocabulary file's ids; strings that the file adds as tokens have their ids, wherever they are, as its library gives them by default."""
 
     def __init__(self, path: str, pattern: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         symbol = byte_symbols()
-        special = {x["content"] for x in spec["added_tokens"]}
+        special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         ranks = {bytes(symbol[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-        self.encoding = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.encoding = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
         self.sentence_end = np.zeros(max(ranks.values()) + 2, bool)
         self.sentence_end[[i for token, i in ranks.items() if token.rstrip(b" \"')")[-1:] in (b".", b"!", b"?", b"\n")]] = True
 
     def __call__(self, text: str | None) -> np.ndarray:
-        return self.encoding.encode_to_numpy(text or "", disallowed_special=()).astype("<u4")
+        return self.encoding.encode_to_numpy(text or "", allowed_special="all").astype("<u4")
 
 
 @functools.lru_cache(maxsize=2)
@@ -128,11 +131,12 @@ def best_cuts(at: np.ndarray, cost: np.ndarray, cap: int = CAP) -> list[int]:
 
 
 def whole_tail(cuts: np.ndarray) -> np.ndarray:
-    """cuts with the last window split at its binary digits, largest first, if it is far from full."""
+    """cuts with the last window split at its binary digits, largest first, if it is far from full; what is below SHORTEST stays together."""
     size = int(cuts[-1] - cuts[-2])
     if CAP - size <= TAIL_PADDING:
         return cuts
-    parts = [1 << k for k in range(size.bit_length() - 1, -1, -1) if size >> k & 1]
+    parts = [1 << k for k in range(size.bit_length() - 1, -1, -1) if size >> k & 1 and 1 << k >= SHORTEST]
+    parts += [size - sum(parts)] if size > sum(parts) else []
     return np.concatenate((cuts[:-1], cuts[-2] + np.cumsum(parts)))
 
 
@@ -194,7 +198,14 @@ def pack(docs: DataFrame, path: str, pattern: str, end_token: int = 1) -> DataFr
         if rows := list(packer.flush(last=True)):
             yield _pieces(rows)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(thrifty(run), PIECES_DDL)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _large_partitions(rows).mapInArrow(thrifty(run), PIECES_DDL)
+
+
+def _large_partitions(rows: DataFrame) -> DataFrame:
+    """rows with small partitions joined, without a shuffle; an estimate from file sizes is enough for that."""
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows.coalesce(max(1, -(-size // PARTITION_BYTES))) if size < 1 << 60 else rows
 
 
 def _pieces(rows: list[tuple]) -> pa.RecordBatch:

@@ -1,5 +1,8 @@
 """Operators on small tables: clashes, ties, nulls, empties, errors."""
 
+import json
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -304,3 +307,79 @@ def test_contagion_is_the_fold(spark, small):
 def test_custom_strategy_must_exist(spark):
     with pytest.raises(ValueError):
         sink.apply_custom(spark.range(1), spark.range(1), ["id"], "none")
+
+
+# ---------------------------------------------------------------- what must not pass silently
+
+
+@pytest.mark.parametrize("value, error", [("{garbage", "malformed"), ("[1]", "malformed"), (None, "malformed"), ("", "malformed"), ('{"after":{"a":1}}', "no clock"), ('{"after":{"a":1},"updated":"x"}', "no clock"), ('{"resolved":"x"}', "no clock")])
+def test_bad_messages_are_errors(spark, value, error):
+    df = spark.createDataFrame([("t", 0, 1, "[1]", value)], "topic string, part int, offset long, key string, value string")
+    assert [r.error for r in envelope.topic_errors(df).collect()] == [error]
+    with pytest.raises(Exception, match=f"{error} at 0/1"):
+        envelope.topic_messages(df).collect()
+
+
+@pytest.mark.parametrize("body, error", [("{garbage", "malformed"), ('{"x":1}', "unknown field"), ('{"payload":[{"after":{},"topic":"t","updated":"1.0","y":1}],"length":1}', "unknown field in a line"), ('{"payload":[{"after":{},"topic":"t"}],"length":1}', "no clock in a line"), ('{"resolved":"abc"}', "no clock")])
+def test_bad_bodies_are_errors(spark, body, error):
+    assert [r.error for r in envelope.webhook_errors(lines(spark, body, "")).collect()] == [error]
+    for read in (envelope.webhook_bodies, lambda df: envelope.query_webhook_bodies(df, {"t": ["a"]}), envelope.webhook_resolved):
+        with pytest.raises(Exception, match=error):
+            read(lines(spark, body)).collect()
+
+
+def test_resolved_bodies_and_lines(spark):
+    assert [tuple(r) for r in envelope.webhook_resolved(lines(spark, '{"resolved":"7.0000000002"}', '{"payload":[],"length":0}')).collect()] == [(7, 2)]
+    with pytest.raises(Exception, match="no clock"):
+        envelope.resolved_lines(lines(spark, '{"resolved":"abc"}')).collect()
+    with pytest.raises(Exception):
+        envelope.bulk_lines(lines(spark, "{garbage"), F.lit("t")).collect()
+
+
+@pytest.mark.parametrize("value", ['"abc"', "99999999999", "[1]"])
+def test_values_that_a_type_cannot_hold_are_errors(spark, value):
+    df = spark.createDataFrame([('{"k":1,"v":%s}' % value,)], "data string")
+    with pytest.raises(Exception, match="(?i)cast"):
+        mapping.map_columns(df, Table.of("t", "k long, v int", ("k",))).collect()
+
+
+def test_flushes_start_again_at_zero(spark):
+    log = [("t", f"[{i}]", n, l) for i, (n, l) in enumerate([(10, 2), (10, 3), (11, 0), (12, 0)])]
+    made = staging.flush_groups(spark.createDataFrame(log, "tbl string, key string, nanos long, logical int"), 2)
+    assert [r.flush for r in made.orderBy("nanos", "logical").collect()] == [0, 0, 1, 1]
+    log = [("t", f"[{i}]", i // 2, 0) for i in range(8)]
+    made = staging.flush_groups(spark.createDataFrame(log, "tbl string, key string, nanos long, logical int"), 3)
+    assert [r.flush for r in made.orderBy("nanos", "logical").collect()] == [0, 0, 1, 1]
+    assert staging.flush_groups(made.selectExpr("'t' AS tbl", "'k' AS key", "nanos", "logical").where("false"), 3).count() == 0
+
+
+def test_flushes_equal_the_fold(spark):
+    rng = random.Random(3)
+    sizes = [rng.choice([1, 1, 2, 3, 40]) for _ in range(400)]
+    log = spark.createDataFrame([("t", f"[{i}.{k}]", i, i % 4) for i, n in enumerate(sizes) for k in range(n)], "tbl string, key string, nanos long, logical int")
+    expected, waiting, number = [], 0, 0
+    for n in sizes:
+        expected.append(number)
+        waiting += n
+        if waiting >= 25:
+            waiting, number = 0, number + 1
+    assert [r.flush for r in staging.flush_groups(log, 25).orderBy("nanos").collect()] == expected
+
+
+def test_row_hooks_keep_digits_and_keys_are_json(spark):
+    hook = hooks.row_hook(lambda doc: doc | {"n": 1})
+    df = spark.createDataFrame([('{"d":0.12345678901234567890123,"e":1E+30,"s":"x"}',)], "data string")
+    assert df.select(hook(F.col("data"), F.lit(1))).first()[0] == '{"d":0.12345678901234567890123,"e":1E+30,"s":"x","n":1}'
+    keyed = hooks.rekey(spark.createDataFrame([('{"id":"a\\"b\\\\c"}',)], "data string"), Table.of("t", "id string", ("id",))).first().key
+    assert json.loads(keyed) == ['a"b\\c']
+
+
+@pytest.mark.parametrize("text, plain", [("1.5E-15", "0.0000000000000015"), ("1E+30", "1" + "0" * 30), ("-0.50e1", "-5"), ("-0", "0"), (".5", "0.5"), ("5.", "5"), ("", None), (".", None), ("1e9999999", None), ("123456789012345678901234567890123456789012.5", "123456789012345678901234567890123456789012.5")])
+def test_numbers_are_exact(spark, text, plain):
+    assert spark.createDataFrame([(text,)], "x string").select(values.plain_decimal(F.col("x")).alias("x")).first().x == plain
+
+
+def test_rows_without_a_key_have_the_same_one_again(spark):
+    events = spark.createDataFrame([(1, 1, "insert", "t", None, "{}"), (2, 1, "insert", "t", None, "{}"), (3, 1, "commit", None, None, None)], "lsn long, xid long, kind string, tbl string, key string, data string")
+    first, second = ([r.key for r in logical.wal_mutations(events).orderBy("seq").collect()] for _ in range(2))
+    assert first == second == ['["3-1"]', '["3-2"]']

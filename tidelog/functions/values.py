@@ -6,10 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def plain_decimal(value: Column, precision: int = 38, scale: int = 10) -> Column:
-    """A number's text without exponent and trailing zeros; null if it is no number that fits."""
-    number = value.try_cast(f"decimal({precision},{scale})").cast("string")
-    return F.regexp_replace(F.regexp_replace(number, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+#: Exponents beyond this would make a text of as many zeros.
+MAX_EXPONENT = 100_000
+
+
+def plain_decimal(value: Column) -> Column:
+    """A number's text without exponent and trailing zeros, exactly; null if it is no number or its exponent is beyond MAX_EXPONENT."""
+    form = r"^\s*([+-]?)([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]{1,9}))?\s*$"
+    part = lambda k: F.regexp_extract(value, form, k)
+    exponent = F.coalesce(F.nullif(part(4), F.lit("")).cast("int"), F.lit(0))
+    digits, point = F.concat(part(2), part(3)), F.length(part(2)) + exponent
+    padded = F.concat(F.repeat(F.lit("0"), F.greatest(-point, F.lit(0))), digits, F.repeat(F.lit("0"), F.greatest(point - F.length(digits), F.lit(0))))
+    at = F.greatest(point, F.lit(0))
+    whole = F.regexp_replace(padded.substr(F.lit(1), at), "^0+", "")
+    rest = F.regexp_replace(padded.substr(at + 1, F.length(padded)), "0+$", "")
+    text = F.concat(F.when(whole == "", "0").otherwise(whole), F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)))
+    signed = F.when((part(1) == "-") & (text != "0"), F.concat(F.lit("-"), text)).otherwise(text)
+    return F.when(value.rlike(form) & (digits != "") & (F.abs(exponent) <= MAX_EXPONENT), signed)
 
 
 def canonical_json(value: Column) -> Column:
@@ -50,5 +63,5 @@ def staging_name(name: Column) -> Column:
 
 def table_of_path(path: Column) -> Column:
     """The table in an object's file name, null if the name has another form."""
-    found = F.regexp_extract(path, r"(?:^|/)[0-9]+-[0-9a-f]+-[0-9]+-[0-9]+-[0-9a-f]+-(.+)-[0-9a-f]+\.ndjson$", 1)
+    found = F.regexp_extract(path, r"(?:^|/)(?:[^-/]+-){5}([^/]+)-[^-/]+\.ndjson$", 1)
     return F.when(found != "", found)

@@ -7,6 +7,8 @@ Python functions on rows are wrapped by `row_hook` and travel in Arrow batches.
 from __future__ import annotations
 
 import json
+import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from decimal import Decimal
@@ -20,6 +22,11 @@ from tidelog.plans.catalog import Catalog, Table
 from tidelog.plans.config import SourceConfig
 
 
+#: What marks a number's text until its quotes are taken off.
+_NUMBER = uuid.uuid4().hex
+_NUMBER_TOKEN = re.compile(f'"{_NUMBER}([^"]*)"')
+
+
 def route_all(df: DataFrame, tbl: str) -> DataFrame:
     return df.withColumn("tbl", F.lit(tbl))
 
@@ -38,8 +45,9 @@ def rekey(df: DataFrame, table: Table) -> DataFrame:
         return F.coalesce(found, F.raise_error(F.lit(f"{table.name}: no {k}")).cast("string"))
 
     parts = F.array(*(value(c.name) for c in table.columns if c.primary))
+    quoted = lambda text: F.to_json(F.array(text)).substr(F.lit(2), F.length(F.to_json(F.array(text))) - 2)
     numeric = [c.type.lower() in ("int", "long", "bigint", "short", "smallint") for c in table.columns if c.primary]
-    shown = F.concat(F.lit("["), F.concat_ws(",", *(parts[i] if n else F.concat(F.lit('"'), parts[i], F.lit('"')) for i, n in enumerate(numeric))), F.lit("]"))
+    shown = F.concat(F.lit("["), F.concat_ws(",", *(parts[i] if n else quoted(parts[i]) for i, n in enumerate(numeric))), F.lit("]"))
     return df.withColumn("key", shown)
 
 
@@ -66,7 +74,10 @@ def row_hook(f: Callable[[dict], dict | None]) -> Callable[[Column, Column], Col
     def run(data: pd.Series) -> pd.Series:
         def one(text):
             doc = f(json.loads(text, parse_float=Decimal)) if text is not None else None
-            return None if doc is None else json.dumps(doc, default=lambda d: float(d) if isinstance(d, Decimal) else str(d), separators=(",", ":"))
+            if doc is None:
+                return None
+            made = json.dumps(doc, default=lambda d: f"{_NUMBER}{d}" if isinstance(d, Decimal) else str(d), separators=(",", ":"))
+            return _NUMBER_TOKEN.sub(r"\1", made)
 
         return data.map(one)
 

@@ -13,8 +13,11 @@ UNCHANGED = "__unchanged_toast__"
 
 
 def payload(data: Column) -> Column:
-    """A JSON object as a map from lower-case names to variants, which keep types and digits."""
-    return F.transform_keys(F.from_json(data, "map<string,variant>"), lambda k, _: F.lower(k))
+    """A JSON object as a map from lower-case names to variants, which keep types and digits; null if it is none. Of names that differ in case alone the last counts."""
+    m = F.from_json(data, "map<string,variant>")
+    names = F.array_distinct(F.transform(F.map_keys(m), F.lower))
+    last = F.transform(names, lambda k: F.element_at(F.filter(F.map_entries(m), lambda e: F.lower(e["key"]) == k), -1)["value"])
+    return F.when(F.size(names) < F.size(m), F.map_from_arrays(names, last)).otherwise(F.transform_keys(m, lambda k, _: F.lower(k)))
 
 
 def _wanted(table: Table, config: TableConfig) -> list:
@@ -29,9 +32,10 @@ def _source(name: str, config: TableConfig) -> str:
 def map_columns(df: DataFrame, table: Table, config: TableConfig = TableConfig(), data: str = "data") -> DataFrame:
     """df with the table's columns instead of the payload.
 
-    A property that is absent takes the column's default, one that is null stays null. Ignored and generated columns
+    A property that is absent takes the column's default, one that is null stays null, and one that the column's type can't
+    hold is an error. Ignored and generated columns
     don't appear. Unknown properties go to the extras column as sorted JSON, or are reported in `unexpected`, a
-    sorted array; absent keys are reported in `missing`.
+    sorted array; keys that are absent or null and have no default are reported in `missing`, all of them if the payload is no JSON object.
     """
     config.check(table)
     rest = [c for c in df.columns if c != data]
@@ -41,7 +45,7 @@ def map_columns(df: DataFrame, table: Table, config: TableConfig = TableConfig()
     out: list[Column] = []
     for c in columns:
         name = _source(c.name, config)
-        read = f"try_variant_get(__m[{_quoted(name)}], '$', '{_readable(c.type)}')"
+        read = f"variant_get(__m[{_quoted(name)}], '$', '{_readable(c.type)}')"
         value = F.expr(config.exprs.get(c.name, "$0").replace("$0", read)).cast(c.type)
         if c.default is not None:
             value = F.when(F.map_contains_key("__m", F.lit(name)), value).otherwise(F.expr(c.default).cast(c.type))
@@ -52,9 +56,10 @@ def map_columns(df: DataFrame, table: Table, config: TableConfig = TableConfig()
         out.append(_sorted_json(extra).alias(config.extras))
         unexpected = F.array().cast("array<string>")
     else:
-        unexpected = F.array_sort(F.map_keys(extra))
-    keys = [_source(k, config) for k in table.keys]
-    missing = F.filter(F.array(*(F.lit(k) for k in keys)), lambda k: ~F.map_contains_key("__m", k))
+        unexpected = F.coalesce(F.array_sort(F.map_keys(extra)), F.array().cast("array<string>"))
+    keys = [_source(c.name, config) for c in columns if c.primary and c.default is None] or ["payload"]
+    lacks = lambda k: F.col("__m").isNull() | (F.lit(keys != ["payload"]) & (~F.map_contains_key("__m", k) | F.coalesce(F.is_variant_null(F.col("__m")[k]), F.lit(False))))
+    missing = F.filter(F.array(*(F.lit(k) for k in keys)), lacks)
     return df.select(*rest, *out, unexpected.alias("unexpected"), missing.alias("missing"))
 
 

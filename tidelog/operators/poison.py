@@ -37,7 +37,7 @@ class PoisonSet:
         return True
 
 
-def _checkpoints(spark: SparkSession) -> None:
+def shared_checkpoints(spark: SparkSession) -> None:
     """Make checkpoint() usable: a folder is made only where none is set."""
     if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidelog-checkpoints-"))
@@ -51,7 +51,7 @@ def spread(batches: DataFrame, poisoned: DataFrame, rounds: int | None = None) -
     """
     bad = poisoned.groupBy("key").agg(F.min(F.col("since").cast("long")).alias("since"))
     if rounds is None:
-        _checkpoints(batches.sparkSession)
+        shared_checkpoints(batches.sparkSession)
     done, seen = 0, None
     while done != rounds:
         held = batches.join(bad, "key").where(F.col("batch") >= F.col("since")).select("batch").distinct()

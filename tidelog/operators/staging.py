@@ -5,11 +5,15 @@ Staged rows are (tbl, key, nanos, logical, data, before); the applied log holds
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import hlc
 from tidelog.operators.dedup import last_by_time_key
+from tidelog.operators.poison import shared_checkpoints
 
 ID = ["tbl", "key", "nanos", "logical"]
 
@@ -76,24 +80,67 @@ def transactions(log: DataFrame) -> DataFrame:
     return log.groupBy("nanos", "logical").agg(F.countDistinct("tbl").alias("n_tables"), F.count("*").alias("n_rows"))
 
 
-def running_total(df: DataFrame, order: str, value: str, out: str, width: int) -> DataFrame:
-    """df with the sum of value over all rows of smaller or equal order (a whole number, unique).
+FLUSHED = "nanos long, logical int, n_tables long, n_rows long, flush long"
 
-    Rows are summed inside ranges of that width first, then the ranges' totals, so that no task sees all rows.
+
+def _next_flush(sums: np.ndarray, size: int, carried: np.ndarray) -> np.ndarray:
+    """With so many mutations waiting, how many transactions are taken until a flush; more than there are if none comes."""
+    return np.searchsorted(sums, size - carried) + 1
+
+
+def _outcomes(rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each number of mutations that may wait before these transactions, 0 to size - 1: how many flushes come, and how many wait after them."""
+    sums, n = np.cumsum(rows), len(rows)
+    total = np.concatenate(([0], sums))
+    # from each place where a flush has just been, the next such place, from the end backwards
+    after = np.searchsorted(sums, total + size) + 1
+    flushes, left = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
+    for k in range(n, -1, -1):
+        if after[k] <= n:
+            flushes[k], left[k] = flushes[after[k]] + 1, left[after[k]]
+        else:
+            left[k] = total[n] - total[k]
+    carried = np.arange(size)
+    first = _next_flush(sums, size, carried)
+    none = first > n
+    there = np.minimum(first, n)
+    return np.where(none, 0, flushes[there] + 1), np.where(none, carried + total[n], left[there])
+
+
+def flush_groups(log: DataFrame, size: int) -> DataFrame:
+    """Transactions with the number of the flush they go out in: whole transactions, a flush as soon as `size` mutations wait, none waiting after it.
+
+    Where a flush comes depends on the one before. So transactions are dealt out by ranges of their clock, each range says what it would make
+    of any number of mutations waiting before it (arrays of `size` numbers come to the driver, one a partition), and numbers its flushes when that is known.
     """
-    df = df.withColumn("__range", F.floor(F.col(order) / width))
-    totals = df.groupBy("__range").agg(F.sum(value).alias("__total"))
-    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("__range", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__before"))
-    inside = F.sum(value).over(Window.partitionBy("__range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    return df.withColumn("__inside", inside).join(totals, "__range").withColumn(out, F.col("__before") + F.col("__inside")).drop("__range", "__inside", "__before")
-
-
-def flush_groups(log: DataFrame, size: int, width: int = 1_000_000) -> DataFrame:
-    """Transactions with the number of the flush they go out in: whole transactions, a new flush each `size` mutations."""
-    tx = transactions(log).withColumn("__at", F.col("nanos") * 2 + F.col("logical"))
-    tx = running_total(tx, "__at", "n_rows", "__sum", width)
-    return tx.withColumn("flush", F.floor((F.col("__sum") - F.col("n_rows")) / size)).drop("__at", "__sum")
+    shared_checkpoints(log.sparkSession)
+    tx = transactions(log).repartitionByRange("nanos", "logical").sortWithinPartitions("nanos", "logical").checkpoint()
+
+    def outcomes(frames):
+        rows = [f["n_rows"].to_numpy() for f in frames]
+        flushes, left = _outcomes(np.concatenate([np.zeros(0, np.int64), *rows]), size)
+        yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "flushes": [flushes.tolist()], "left": [left.tolist()]})
+
+    known, waiting, number = {}, 0, 0
+    for r in sorted(tx.mapInPandas(outcomes, "part int, flushes array<long>, left array<long>").collect()):
+        known[r.part] = (waiting, number)
+        number, waiting = number + r.flushes[waiting], r.left[waiting]
+
+    def numbered(frames):
+        waiting, number = known[TaskContext.get().partitionId()]
+        for f in frames:
+            sums = np.cumsum(f["n_rows"].to_numpy())
+            made, at, base = np.zeros(len(f), np.int64), 0, 0
+            while at < len(f):
+                end = int(_next_flush(sums, size, np.array(waiting - base)))
+                made[at:end] = number
+                if end > len(f):
+                    waiting += int(sums[-1]) - base
+                    break
+                at, base, waiting, number = end, int(sums[end - 1]), 0, number + 1
+            yield f.assign(flush=made)
+
+    return tx.mapInPandas(numbered, FLUSHED)
 
 
 def by_table(log: DataFrame) -> DataFrame:

@@ -145,6 +145,24 @@ def reject_violations(t: Tables) -> DataFrame:
     return mapping.violations(mapping.map_columns(bad, PARTS)).select("id", "violation")
 
 
+@query("SELECT CASE p_partkey % 5 WHEN 0 THEN 'missing keys: id' WHEN 1 THEN 'missing keys: id' WHEN 2 THEN 'missing keys: id' ELSE 'ok' END AS state, count(*) AS n, sum(CASE WHEN p_partkey % 5 > 2 THEN p_size END) AS size FROM part GROUP BY 1")
+def mapping_null_keys(t: Tables) -> DataFrame:
+    """Keys that are null or absent and payloads that are no JSON are violations; of names that differ in case the last counts."""
+    size = F.col("p_size").cast("string")
+    doc = F.when(F.col("p_partkey") % 5 == 0, F.lit('{"id":null,"size":1}')).when(F.col("p_partkey") % 5 == 1, F.lit('{"size":1}')).when(F.col("p_partkey") % 5 == 2, F.lit("{garbage")).otherwise(F.concat(F.lit('{"size":0,"Id":7,"SIZE":'), size, F.lit("}")))
+    mapped = mapping.map_columns(t("part").select(doc.alias("data")), Table.of("p", "id long, size long", ("id",)))
+    bad = mapping.violations(mapped).select(F.col("violation").alias("state"), F.lit(None).cast("long").alias("size"))
+    return bad.unionAll(mapping.valid(mapped).select(F.lit("ok"), "size")).groupBy("state").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+
+
+@query("SELECT count(*) AS n, count(DISTINCT p_partkey) AS n_rowids, sum(p_size) AS size FROM part")
+def keyless_table(t: Tables) -> DataFrame:
+    """Rows of a table without a key get one each."""
+    docs = t("part").select(F.concat(F.lit('{"size":'), F.col("p_size").cast("string"), F.lit("}")).alias("data"))
+    rows = mapping.valid(mapping.map_columns(docs, Table.of("p", "size long", ())))
+    return rows.agg(F.count("*").alias("n"), F.countDistinct("rowid").alias("n_rowids"), F.sum("size").alias("size"))
+
+
 @query("SELECT l.pk, CASE WHEN l.pk % 2 = 0 THEN t.status ELSE l.status END AS status FROM latest l LEFT JOIN target t ON t.pk = l.pk WHERE NOT is_delete", "feed", "latest", "target")
 def apply_toast(t: Tables) -> DataFrame:
     """A large column that the source left out keeps the target's value; null where there is no row."""

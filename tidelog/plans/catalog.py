@@ -31,7 +31,7 @@ class Table:
             column, kind = part.strip().split(" ", 1)
             made.append(Column(column, kind, column in keys, column in generated, (defaults or {}).get(column)))
         if not keys:
-            made.insert(0, Column("rowid", "long", True, default="uuid()"))
+            made.insert(0, Column("rowid", "string", True, default="uuid()"))
         return Table(name, tuple(sorted(made, key=lambda c: not c.primary)))  # keys first
 
     @property

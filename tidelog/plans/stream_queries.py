@@ -150,9 +150,13 @@ def coalesce_by_table(t: Tables) -> DataFrame:
     return staging.by_table(_logs(t))
 
 
-@query(f"WITH {_LOGS}, tx AS (SELECT nanos, logical, count(DISTINCT tbl) AS n_tables, count(*) AS n_rows FROM logs GROUP BY ALL) SELECT *, CAST((sum(n_rows) OVER (ORDER BY nanos, logical) - n_rows) // 70 AS BIGINT) AS flush FROM tx")
+@query(f"""WITH RECURSIVE {_LOGS}, tx AS (SELECT row_number() OVER (ORDER BY nanos, logical) AS i, nanos, logical, count(DISTINCT tbl) AS n_tables, count(*) AS n_rows FROM logs GROUP BY nanos, logical),
+    f AS (SELECT CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS waiting, CAST(0 AS BIGINT) AS next, CAST(0 AS BIGINT) AS flush
+    UNION ALL SELECT tx.i, CASE WHEN f.waiting + n_rows >= 70 THEN 0 ELSE f.waiting + n_rows END, CASE WHEN f.waiting + n_rows >= 70 THEN f.next + 1 ELSE f.next END, f.next FROM f JOIN tx ON tx.i = f.i + 1)
+    SELECT nanos, logical, n_tables, n_rows, flush FROM f JOIN tx USING (i)""")
 def copier_flush_groups(t: Tables) -> DataFrame:
-    return staging.flush_groups(_logs(t), 70, width=16)
+    """Whole transactions, flushed as soon as 70 mutations wait."""
+    return staging.flush_groups(_logs(t), 70)
 
 
 @query("SELECT 'orders' AS tbl, key, ver, is_delete FROM latest_in ".replace("latest_in", f"(SELECT * FROM feed f WHERE nanos < {HIGH} AND NOT EXISTS (SELECT 1 FROM applied a WHERE a.key = f.key AND a.nanos = f.nanos AND a.logical = f.logical) QUALIFY row_number() OVER (PARTITION BY tbl, key ORDER BY nanos DESC, logical DESC, seq DESC) = 1)"), "feed", "staged", "applied")
@@ -400,6 +404,25 @@ def webhook_query_payload(t: Tables) -> DataFrame:
     return envelope.query_webhook_bodies(bodies.select(value.alias("value")), {"item": ["id", "flag"], "other": ["k"]}).select("tbl", "key", "is_delete")
 
 
+@query("""SELECT part, "offset", CASE WHEN "offset" % 10 = 4 THEN 'no clock' ELSE 'malformed' END AS error FROM messages WHERE "offset" % 10 IN (3, 4, 5)""", "messages")
+def kafka_bad_messages(t: Tables) -> DataFrame:
+    """Messages that can't be taken, and why; reading them as mutations is an error."""
+    at = F.col("offset") % 10
+    bad = F.when(at == 3, "{garbage").when(at == 4, '{"after":{"id":1}}').when(at == 5, "[1]").otherwise(F.col("value"))
+    return envelope.topic_errors(t.messages().withColumn("value", bad))
+
+
+@query("""SELECT o_orderkey AS id, CASE o_orderkey % 8 WHEN 0 THEN 'malformed' WHEN 1 THEN 'unknown field' WHEN 2 THEN 'no clock' WHEN 3 THEN 'length differs from payload' WHEN 4 THEN 'unknown field in a line' WHEN 5 THEN 'no clock in a line' END AS error FROM orders WHERE o_orderkey % 8 < 6""")
+def webhook_bad_bodies(t: Tables) -> DataFrame:
+    """Bodies that can't be taken, and why; of eight kinds the last two are good."""
+    line = '{"after":{"n":1},"key":[1],"topic":"a.b.t"%s}'
+    body = '{"payload":[%s],"length":%d}'
+    good = line % ',"updated":"5.0000000000"'
+    kinds = ["{garbage", '{"payloads":[]}', '{"resolved":"abc"}', body % (good, 2), body % (line % ',"updated":"5.0000000000","x":1', 1), body % (line % ',"updated":"x"', 1), body % (good, 1), '{"resolved":"5.0000000000"}']
+    kind = F.element_at(F.array(*map(F.lit, kinds)), (F.col("o_orderkey") % 8 + 1).cast("int"))
+    return envelope.webhook_errors(t("orders").select(F.col("o_orderkey").alias("id"), kind.alias("value"))).select("id", "error")
+
+
 @query('SELECT part, max("offset") AS "offset" FROM messages WHERE is_resolved AND nanos < 1000000500 GROUP BY part', "messages")
 def kafka_seek_resolved(t: Tables) -> DataFrame:
     return envelope.seek(t.messages(), (BASE + 500, 0))
@@ -498,14 +521,14 @@ def mode_decision(t: Tables) -> DataFrame:
     return t("customer").select(c.alias("id"), modes.mode_column(current, c * 13 % 4000, c % 11 * 400).alias("mode"))
 
 
-@query("""WITH RECURSIVE b AS (SELECT DISTINCT o_custkey AS batch, o_orderkey % 400 AS key FROM orders), bad AS (
-    SELECT CAST(0 AS BIGINT) AS round, key, CAST(0 AS BIGINT) AS since FROM (VALUES (7), (190)) AS v(key)
-    UNION ALL SELECT round, key, since FROM (SELECT x.round + 1 AS round, o.key, min(b.batch) AS since FROM bad x JOIN b ON b.key = x.key AND b.batch >= x.since JOIN b o ON o.batch = b.batch WHERE x.round < 2 GROUP BY x.round, o.key))
-    SELECT DISTINCT b.batch FROM b JOIN (SELECT key, min(since) AS since FROM bad GROUP BY key) x ON x.key = b.key AND b.batch >= x.since""")
+@query("""WITH RECURSIVE b AS (SELECT o_custkey AS batch, list(DISTINCT o_orderkey % 400) AS keys FROM orders GROUP BY o_custkey), n AS (SELECT row_number() OVER (ORDER BY batch) AS i, * FROM b),
+    f AS (SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS batch, false AS held, [CAST(7 AS BIGINT), 190] AS bad
+    UNION ALL SELECT n.i, n.batch, list_has_any(f.bad, n.keys), CASE WHEN list_has_any(f.bad, n.keys) THEN list_distinct(list_concat(f.bad, n.keys)) ELSE f.bad END FROM f JOIN n ON n.i = f.i + 1)
+    SELECT batch FROM f WHERE held""")
 def poison_contagion(t: Tables) -> DataFrame:
-    """Batches held back by two failed keys, directly or through one another, two steps deep."""
+    """Batches held back by two failed keys, directly or through one another, to the end."""
     batches = t("orders").select(F.col("o_custkey").alias("batch"), (F.col("o_orderkey") % 400).alias("key")).distinct()
-    return poison.spread(batches, t.spark.createDataFrame([(7, 0), (190, 0)], "key long, since long"), 2)
+    return poison.spread(batches, t.spark.createDataFrame([(7, 0), (190, 0)], "key long, since long"))
 
 
 @query("SELECT 'l' || c_custkey AS name, 'me' AS nonce FROM customer WHERE c_custkey % 4 <> 0 OR c_custkey % 3 = 0 OR c_custkey % 5 = 0")

@@ -15,12 +15,12 @@ def wal_mutations(events: DataFrame, saved_lsn: int = 0) -> DataFrame:
     """Mutations of (lsn, xid, kind, tbl, key, data) events between begin and commit of each transaction.
 
     Transactions at or below the saved position are replays and go; a truncate is an error; a transaction that never
-    commits isn't final. All rows of a transaction have its commit's position as their clock.
+    commits isn't final. Rows without a key have their place in the log as one. All rows of a transaction have its commit's position as their clock.
     """
     commits = events.where("kind = 'commit'").select("xid", F.col("lsn").alias("commit_lsn"))
     bad = F.when(F.col("kind") == "truncate", F.raise_error(F.concat(F.lit("truncate of "), F.col("tbl"))).cast("string")).otherwise(F.col("kind"))
     rows = events.withColumn("kind", bad).where("kind IN ('insert', 'update', 'delete')").join(commits, "xid").where(F.col("commit_lsn") > saved_lsn)
-    return rows.select("tbl", F.coalesce("key", F.concat(F.lit('["'), F.uuid(), F.lit('"]'))).alias("key"), F.when(F.col("kind") != "delete", F.col("data")).alias("data"), F.col("commit_lsn").alias("nanos"), F.lit(0).alias("logical"), F.col("lsn").alias("seq"), (F.col("kind") == "delete").alias("is_delete"))
+    return rows.select("tbl", F.coalesce("key", F.concat(F.lit('["'), F.col("commit_lsn").cast("string"), F.lit("-"), F.col("lsn").cast("string"), F.lit('"]'))).alias("key"), F.when(F.col("kind") != "delete", F.col("data")).alias("data"), F.col("commit_lsn").alias("nanos"), F.lit(0).alias("logical"), F.col("lsn").alias("seq"), (F.col("kind") == "delete").alias("is_delete"))
 
 
 def mark_unchanged(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -138,3 +138,38 @@ def test_conflicts(spark, tmp_path, merge, dlq, expected, letters):
 def test_lag_switches_modes(spark, tmp_path):
     e = engine(spark, tmp_path, "consistent", window=100)
     assert [e.switch(lag) for lag in (50, 100, 50, 25)] == ["consistent", "best_effort", "best_effort", "consistent"]
+
+
+def test_a_batch_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    e = engine(spark, tmp_path, "immediate")
+    e.accept(mutations(spark, *(("parent", f"[{i}]", f'{{"id":{i},"val":1}}', 1) for i in range(200))), 0)
+    before = e.store.last()["tables"]
+    assert set(before) == {"parent"} and len(before["parent"]) == e.buckets
+    e.accept(mutations(spark, ("parent", "[7]", '{"id":7,"val":2}', 2), ("parent", "[8]", None, 2)), 1)
+    after = e.store.last()["tables"]
+    changed = [b for b in before["parent"] if after["parent"].get(b) != before["parent"][b]]
+    assert set(after) == {"parent"} and 1 <= len(changed) <= 2
+    rows = {r.id: r.val for r in e.table("parent").collect()}
+    assert len(rows) == 199 and rows[7] == 2 and 8 not in rows and rows[9] == 1
+
+
+def test_a_bucket_that_is_emptied_goes(spark, tmp_path):
+    e = engine(spark, tmp_path, "immediate")
+    e.accept(mutations(spark, ("parent", "[7]", '{"id":7,"val":2}', 1)), 0)
+    e.accept(mutations(spark, ("parent", "[7]", None, 2)), 1)
+    assert e.table("parent").count() == 0 and e.store.last()["tables"]["parent"] == {}
+    e.accept(mutations(spark, ("parent", "[7]", '{"id":7,"val":3}', 3)), 2)
+    assert [tuple(r) for r in e.table("parent").collect()] == [(7, 3)]
+
+
+def test_another_format_is_an_error(spark, tmp_path):
+    e = engine(spark, tmp_path, "immediate")
+    e.accept(mutations(spark, ("parent", "[7]", '{"id":7,"val":2}', 1)), 0)
+    commit = next(tmp_path.glob("commit-*"))
+    text = commit.read_text()
+    commit.unlink()
+    for crc in tmp_path.glob(".commit-*.crc"):
+        crc.unlink()
+    commit.write_text(text.replace('"format": 2', '"format": 1'))
+    with pytest.raises(ValueError, match="format 1"):
+        e.table("parent")

@@ -79,10 +79,15 @@ def _sorted_json(m: Column) -> Column:
     return F.when(F.size(m) > 0, F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}")))
 
 
+def violation() -> Column:
+    """What is wrong with a mapped row, null if nothing."""
+    missing = F.when(F.size("missing") > 0, F.concat(F.lit("missing keys: "), F.array_join("missing", ", ")))
+    return missing.when(F.size("unexpected") > 0, F.concat(F.lit("unexpected columns: "), F.array_join("unexpected", ", ")))
+
+
 def violations(mapped: DataFrame) -> DataFrame:
     """Rows with unexpected properties or missing keys, and what is wrong."""
-    text = F.when(F.size("missing") > 0, F.concat(F.lit("missing keys: "), F.array_join("missing", ", "))).otherwise(F.concat(F.lit("unexpected columns: "), F.array_join("unexpected", ", ")))
-    return mapped.where((F.size("missing") > 0) | (F.size("unexpected") > 0)).withColumn("violation", text)
+    return mapped.withColumn("violation", violation()).where("violation IS NOT NULL")
 
 
 def valid(mapped: DataFrame) -> DataFrame:

@@ -48,6 +48,8 @@ class Engine:
     mode: str = modes.CONSISTENT
     #: Seconds of lag from which on the engine goes over to best effort; None leaves the mode as it is.
     window: float | None = None
+    #: Into how many buckets a table's rows are dealt by their keys; a commit rewrites those that it touches.
+    buckets: int = 16
 
     def __post_init__(self) -> None:
         self.levels = self.catalog.levels()
@@ -153,39 +155,49 @@ class Engine:
     # -- applying
 
     def _commit(self, rows: DataFrame, appended: dict[str, DataFrame], meta: dict, as_of: Column | None, tables: dict[str, DataFrame] | None = None) -> None:
-        states, letters = dict(tables or {}), None
+        states, letters, touched = dict(tables or {}), None, {}
         for level in self.levels:
             for name in level:
-                state, dead = self._applied(rows.where(F.col("tbl") == name), self.catalog.tables[name], self.configs.get(name, TableConfig()), as_of)
-                states[name] = state
-                letters = dead if letters is None or dead is None else letters.unionByName(dead)
+                made = self._applied(rows.where(F.col("tbl") == name), self.catalog.tables[name], self.configs.get(name, TableConfig()), as_of)
+                if made is None:
+                    continue
+                states[name], dead, numbers = made
+                touched[name] = (self._bucket(self.catalog.tables[name]), numbers)
+                if dead is not None:
+                    letters = dead if letters is None else letters.unionByName(dead)
         logs = appended | {"applied": rows.select(*staging.ID).distinct()} | ({"dead_letters": letters} if letters is not None else {})
-        self.store.commit(states, logs, meta=meta)
+        self.store.commit(states, logs, meta=meta, touched=touched)
 
-    def _applied(self, rows: DataFrame, table: Table, config: TableConfig, as_of: Column | None) -> tuple[DataFrame, DataFrame | None]:
-        """A table's new state, and dead letters if it has a queue for them."""
+    def _bucket(self, table: Table) -> Column:
+        return F.pmod(F.xxhash64(*table.keys), F.lit(self.buckets)).cast("int")
+
+    def _applied(self, rows: DataFrame, table: Table, config: TableConfig, as_of: Column | None) -> tuple[DataFrame, DataFrame | None, list[int]] | None:
+        """The new state of the buckets that a table's rows are in, dead letters if it has a queue for them, and those buckets; None if there are no rows."""
         last = last_by_key(rows)
         carried = ["tbl", "key", "nanos", "logical", "before", "data"]
         writes = mapping.map_columns(last.where("NOT is_delete").withColumn("__data", F.col("data")), table, config, "__data")
-        bad = mapping.violations(writes).select("violation").limit(1).collect()
-        if bad:
-            raise ValueError(f"{table.name}: {bad[0].violation}")
         deletes = mapping.delete_keys(last.where("is_delete"), table, config)
-        if not deletes.where("NOT arity OR arity IS NULL").isEmpty():
-            raise ValueError(f"{table.name}: a delete's key has another length")
-        state = sink.delete(self.table(table.name), deletes, table.keys)
+        length = F.when(F.coalesce("arity", F.lit(False)), None).otherwise("a delete's key has another length")
+        bucket = self._bucket(table).alias("bucket")
+        seen = writes.select(mapping.violation().alias("violation"), bucket).unionByName(deletes.select(length.alias("violation"), bucket))
+        found = seen.agg(F.min("violation").alias("violation"), F.array_sort(F.collect_set("bucket")).alias("buckets")).first()  # no more numbers than buckets
+        if found.violation is not None:
+            raise ValueError(f"{table.name}: {found.violation}")
+        if not found.buckets:
+            return None
+        state = sink.delete(self.store.read(table.name, found.buckets), deletes, table.keys)
         typed = mapping.valid(writes)
         values = [c.name for c in table.columns if c.name in typed.columns]
         rest = [c for c in values if c not in table.keys]
         if not (config.cas or config.deadlines):
-            return sink.upsert(state, typed.select(*values), table.keys), None
+            return sink.upsert(state, typed.select(*values), table.keys), None, found.buckets
         made = resolve.decide(state, typed.select(*carried, *values), table.keys, list(config.cas), config.deadlines, as_of)
         state = sink.upsert(state, made.applied.select(*values), table.keys)
         if not config.merge:
-            return state, None
+            return state, None, found.buckets
         before = mapping.map_columns(made.conflicts.select("key", F.coalesce("before", F.lit("{}")).alias("__before")), table, TableConfig(rename=config.rename, ignore=config.ignore, extras=config.extras), "__before")
         sides = made.conflicts.join(before.select("key", *(F.col(c).alias(f"before_{c}") for c in rest)), "key").withColumn("has_before", F.col("before").isNotNull())
         fallback = config.merge if callable(config.merge) else "dlq" if config.dlq else None
         routed = resolve.route(resolve.merge_rows(sides, rest), rest, fallback)
         state = sink.upsert(state, resolve.fixups(routed, table.keys, rest), table.keys)
-        return state, resolve.dead_letters(routed, config.dlq, F.col("data"), F.col("before")) if config.dlq else None
+        return state, resolve.dead_letters(routed, config.dlq, F.col("data"), F.col("before")) if config.dlq else None, found.buckets

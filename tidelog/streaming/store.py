@@ -5,17 +5,19 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidelog.streaming.table import _Folder
 
-FORMAT = 1
+FORMAT = 2
+#: The column that rows are dealt to folders by.
+BUCKET = "__bucket"
 
 
 @dataclass
 class Store:
-    """Tables are snapshots, rewritten when they change; logs are a base and what was appended since.
+    """Tables are snapshots, of which a step rewrites the buckets that it touches; logs are a base and what was appended since.
 
     A step writes its snapshots and appendices under its number, then a commit that names what counts. Whatever a
     failed step left behind is overwritten by the step that takes its number.
@@ -31,27 +33,44 @@ class Store:
 
     def last(self) -> dict:
         names = self.folder.names("commit-")
-        return json.loads(self.folder.read(names[-1])) if names else {"format": FORMAT, "step": -1, "tables": {}, "logs": {}, "meta": {}}
+        last = json.loads(self.folder.read(names[-1])) if names else {"format": FORMAT, "step": -1, "tables": {}, "logs": {}, "meta": {}}
+        if last["format"] != FORMAT:
+            raise ValueError(f"{self.path} has format {last['format']}, this is {FORMAT}")
+        return last
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, buckets: list[int] | None = None) -> DataFrame:
+        """A table or log; of a table all rows, or those of some buckets."""
         last = self.last()
         if name in self.logs:
             kept = last["logs"].get(name, {"base": None, "steps": []})
             paths = ([kept["base"]] if kept["base"] else []) + [f"{name}/step={s}" for s in kept["steps"]]
             schema = self.logs[name]
         else:
-            paths, schema = [last["tables"][name]] if name in last["tables"] else [], self.tables[name]
+            known = last["tables"].get(name, {})
+            paths = [path for b, path in known.items() if buckets is None or b == "" or int(b) in buckets]
+            schema = self.tables[name]
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*(f"{self.path}/{p}" for p in paths))
 
-    def commit(self, tables: dict[str, DataFrame] | None = None, appended: dict[str, DataFrame] | None = None, compacted: dict[str, DataFrame] | None = None, meta: dict | None = None) -> int:
-        """One step: new states of tables, rows for logs, logs rewritten as a whole, and facts to remember. Returns its number."""
+    def commit(self, tables: dict[str, DataFrame] | None = None, appended: dict[str, DataFrame] | None = None, compacted: dict[str, DataFrame] | None = None, meta: dict | None = None, touched: dict[str, tuple[Column, list[int]]] | None = None) -> int:
+        """One step: new states of tables, rows for logs, logs rewritten as a whole, and facts to remember. Returns its number.
+
+        A table in touched has the buckets of that list alone in its new state, by that column; its others stay as they are.
+        """
         last = self.last()
         step = last["step"] + 1
         for name, df in (tables or {}).items():
-            df.select(*self.tables[name].names).write.mode("overwrite").parquet(f"{self.path}/{name}/v={step}")
-            last["tables"][name] = f"{name}/v={step}"
+            rows, folder = df.select(*self.tables[name].names), f"{name}/v={step}"
+            if name not in (touched or {}):
+                rows.write.mode("overwrite").parquet(f"{self.path}/{folder}")
+                last["tables"][name] = {"": folder}
+                continue
+            bucket, numbers = touched[name]
+            rows.withColumn(BUCKET, bucket).repartition(BUCKET).write.partitionBy(BUCKET).mode("overwrite").parquet(f"{self.path}/{folder}")
+            written = {n.split("=")[1]: f"{folder}/{n}" for n in self.folder.names(f"{BUCKET}=", folder)}
+            kept = {b: path for b, path in last["tables"].get(name, {}).items() if int(b) not in numbers}
+            last["tables"][name] = kept | written
         for name, df in (compacted or {}).items():
             df.select(*self.logs[name].names).write.mode("overwrite").parquet(f"{self.path}/{name}/base={step}")
             last["logs"][name] = {"base": f"{name}/base={step}", "steps": []}

@@ -43,10 +43,11 @@ class _Folder:
         if not self.fs.rename(part, self.path(name)):
             raise OSError(f"{name} exists already")
 
-    def names(self, prefix: str) -> list[str]:
-        if not self.fs.exists(self.root):
+    def names(self, prefix: str, folder: str | None = None) -> list[str]:
+        place = self.path(folder) if folder else self.root
+        if not self.fs.exists(place):
             return []
-        return sorted(s.getPath().getName() for s in self.fs.listStatus(self.root) if s.getPath().getName().startswith(prefix))
+        return sorted(s.getPath().getName() for s in self.fs.listStatus(place) if s.getPath().getName().startswith(prefix))
 
 
 @dataclass

@@ -38,8 +38,10 @@ class PoisonSet:
 
 
 def shared_checkpoints(spark: SparkSession) -> None:
-    """Make checkpoint() usable: a folder is made only where none is set."""
+    """Make checkpoint() usable: a folder is made only where none is set, which only a session on one machine may do."""
     if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidelog-checkpoints-"))
 
 

@@ -1,6 +1,10 @@
+import math
+import struct
 import zlib
 from collections import Counter
 
+import xxhash
+
 from tidelog.llm import sharding
 
 
@@ -47,3 +51,26 @@ def test_one_more_shard_takes_rows_only_into_itself(spark):
         x, y = place(spark, sharding.Tree.uniform(n), 2000), place(spark, sharding.Tree.uniform(n + 1), 2000)
         assert all(y[i] in (x[i], n) for i in x) and any(y[i] == n for i in y)
     assert sharding.Tree.uniform(41).shards() == list(range(41))
+
+
+def descend(tree, key):
+    """The shard of a key, one draw after another."""
+
+    def choice(weights, prefix):
+        def draw(child):
+            seed = xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+            u = ((xxhash.xxh64_intdigest(f"{prefix}/{child}".encode(), seed) >> 11) + 1) / 2**53
+            return math.log(u) / weights[child]
+
+        return max(weights, key=draw)
+
+    total = lambda shards: sum(shards.values())
+    region = choice({r: sum(map(total, racks.values())) for r, racks in tree.regions.items()}, "")
+    rack = choice({n: total(shards) for n, shards in tree.regions[region].items()}, region)
+    return choice(tree.regions[region][rack], rack)
+
+
+def test_places_equal_brute_force(spark):
+    odd = sharding.Tree({"a": {"a0": {0: 1.0, 1: 0.5}, "a1": {2: 4.0}}, "b": {"b0": {3: 1.0, 4: 2.5, 5: 0.25}}, "c": {"c0": {6: 7.0}}})
+    for tree in (odd, sharding.Tree.uniform(40), sharding.Tree.uniform(43)):
+        assert place(spark, tree, 3000) == {k: descend(tree, k) for k in range(3000)}

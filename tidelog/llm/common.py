@@ -62,8 +62,10 @@ def release_memory() -> None:
 
 
 def shared_checkpoints(spark: SparkSession) -> None:
-    """Make checkpoint() usable: the cluster's shared folder is taken from spark.checkpoint.dir; one is made only where none is set."""
+    """Make checkpoint() usable: the cluster's shared folder is taken from spark.checkpoint.dir; one is made only where none is set, by a session on one machine."""
     if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidelog-checkpoints-"))
 
 

@@ -9,7 +9,7 @@ Shards beyond the base layout are regions of their own. Thus one more shard take
 only into itself, and no other row moves.
 
 Placement is a row-wise expression without a shuffle. Slots number a shard's rows
-without gaps: rows are dealt out to SLOT_PARTS parts of each shard, numbered there, and shifted by
+without gaps: rows are dealt out to parts of each shard, as many as the input has partitions but SLOT_PARTS at least, numbered there, and shifted by
 the sizes of the parts before; texts aren't moved. Rows of one doc_id share a shard.
 A null doc_id is a key like any other; a null text has no bytes. An empty table gives an
 empty result. Other columns don't matter.
@@ -26,7 +26,7 @@ from tidelog.llm.common import text_bytes
 
 SHARDS = 40
 RACKS_PER_REGION, SHARDS_PER_RACK = 4, 2
-SLOT_PARTS = 64
+SLOT_PARTS = 16
 
 
 @dataclass(frozen=True)
@@ -84,7 +84,8 @@ def place(df: DataFrame, key: str, tree: Tree, out: str) -> DataFrame:
 
 def with_slots(df: DataFrame, shard: str, order: list[str], out: str = "slot") -> DataFrame:
     """df with a number from 0 without gaps in each shard; rows equal in all of order may swap."""
-    df = df.withColumn("__part", F.pmod(F.xxhash64(*order), F.lit(SLOT_PARTS)))
+    parts = max(SLOT_PARTS, df.rdd.getNumPartitions())
+    df = df.withColumn("__part", F.pmod(F.xxhash64(*order), F.lit(parts)))
     sizes = df.groupBy(shard, "__part").agg(F.count("*").alias("__size"))
     before = Window.partitionBy(shard).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(F.col(shard).alias("__shard"), F.col("__part").alias("__of"), F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__shift"))

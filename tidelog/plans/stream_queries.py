@@ -540,11 +540,13 @@ def lease_acquire(t: Tables) -> DataFrame:
     return control.acquire(held, wanted, F.lit(10)).select("name", "nonce")
 
 
-@query("SELECT event_type AS tbl, count(*) AS n_rows, count(*) FILTER (event_id % 9 = 0) AS n_deletes, min(event_id) AS first_id, max(event_id) AS last_id FROM events GROUP BY event_type")
+@query("SELECT count(*) AS n_rows, count(*) FILTER (event_id % 9 = 0) AS n_deletes, min(event_id) AS first_nanos, max(event_id) AS last_nanos FROM events")
 def batch_metrics(t: Tables) -> DataFrame:
-    """Counters of a batch by table."""
-    gone = F.col("event_id") % 9 == 0
-    return t("events").groupBy(F.col("event_type").alias("tbl")).agg(F.count("*").alias("n_rows"), F.count_if(gone).alias("n_deletes"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+    """What a batch counts of itself while it is written somewhere."""
+    rows = t("events").select(F.col("event_id").alias("nanos"), F.lit(0).alias("logical"), (F.col("event_id") % 9 == 0).alias("is_delete"))
+    batch, seen = control.observed(rows, "batch")
+    batch.write.format("noop").mode("overwrite").save()
+    return t.spark.createDataFrame([tuple(seen.get[c] for c in ("n_rows", "n_deletes", "first_nanos", "last_nanos"))], "n_rows long, n_deletes long, first_nanos long, last_nanos long")
 
 
 @query("SELECT user_id, max_by(event_id, (epoch_us(ts), event_id)) AS event_id FROM events GROUP BY user_id")

@@ -46,7 +46,7 @@ POWERS = [256, 512, 1024]
 #: A partition's last window that would need more padding than this is cut into powers of two from the shortest on, which need none, and a rest.
 TAIL_PADDING, SHORTEST = 256, 128
 #: Partitions are joined, where they lie, until they hold so many bytes each by the plan's estimate: each has a rest.
-PARTITION_BYTES = 8 << 20
+PARTITION_BYTES = 2 << 20
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 PIECES_DDL = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"

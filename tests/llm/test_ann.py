@@ -103,3 +103,17 @@ def test_vectors_without_clusters(spark):
         found.setdefault(r.query_id, set()).add(r.vec_id)
     hits = sum(len(found[q[0]] & {i for i, _ in brute(usable, q)}) for q in usable[::150])
     assert hits >= 0.9 * 5 * len(usable[::150])
+
+
+def test_rows_that_share_a_vec_id(spark):
+    """Repeats come out once and take no other's place; a query with two vectors asks with both."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(16).tolist(), 0) for i in range(1, 60)]
+    other = rng.standard_normal(16).tolist()
+    rows += [rows[6]] * 20 + [(7, other, 0), (50, rows[6][1], 0)]
+    out = sorted(ann.query(spark.createDataFrame(rows, SCHEMA)).collect(), key=lambda r: r["rank"])
+    asked = [np.array(v, np.float32).astype(float) for i, v, _ in rows if i == 50]
+    cosine = lambda x, y: x @ y / np.sqrt((x @ x) * (y @ y))
+    scores = {(i, round(float(cosine(q, np.array(v, np.float32).astype(float))), 9)) for i, v, _ in rows if i != 50 for q in asked}
+    assert [(r.vec_id, round(r.score, 9)) for r in out] == sorted(scores, key=lambda x: (-x[1], x[0]))[:5]
+    assert [r["rank"] for r in out] == [1, 2, 3, 4, 5] and {r.query_id for r in out} == {50}

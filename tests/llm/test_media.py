@@ -109,6 +109,14 @@ def test_query(spark):
     assert media.query(df.where("false")).count() == 0
 
 
+def test_made_columns_replace_others_of_their_names(spark):
+    df = spark.createDataFrame([(1, bytearray(b"abc"), "m", "w", "p", 5)], "id long, data binary, media string, width string, payload string, other long")
+    stored = media.store(df, "data")
+    assert sorted(stored.columns) == sorted(df.columns)
+    row = media.with_features(stored).first()
+    assert (row.id, row.other, bytes(row.data)) == (1, 5, b"abc") and row.width > 0 and bytes(row.payload) == media.padded(b"abc")
+
+
 def test_lookup_covers_values():
     table = media.lookup(*media.table_of(media.AC_LENGTHS))
     assert int(table.length.max()) == 9 and np.all(table.whole <= 16)

@@ -14,7 +14,8 @@ all vectors is spread over many tasks; each cell sends its best for each query.
 
 Vectors that are null or zero or hold a null or non-finite component, rows without vec_id, and vectors of another
 length than most (of equally frequent lengths, the smaller) take no part. Equal scores rank by
-vec_id. Rows that repeat a query's vec_id are the query's own and no candidates. An empty table gives an empty result.
+vec_id. Rows that repeat a query's vec_id are the query's own and no candidates; with different vectors they ask together, for the nearest to any of them.
+Repeated candidates, of one vec_id and vector, come out once; a vec_id with different vectors comes out with the score of each. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -126,6 +127,17 @@ def cosines(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return (b * a).sum(axis=1) / (np.sqrt((b * b).sum(axis=1)) * np.sqrt((a * a).sum()))
 
 
+def _once(ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Indexes without rows that repeat another one's id and vector; ids are in order, and repeats are in one cell."""
+    repeated = np.flatnonzero(ids[1:] == ids[:-1]) + 1
+    seen, out = set(), np.ones(len(ids), bool)
+    for k in np.union1d(repeated - 1, repeated).tolist():
+        row = (int(ids[k]), vectors[k].tobytes())
+        out[k] = row not in seen
+        seen.add(row)
+    return np.flatnonzero(out)
+
+
 def _search_cell(turn: np.ndarray):
     def run(group: pa.Table) -> pa.Table:
         is_query = group.column("is_query").to_numpy()
@@ -134,6 +146,8 @@ def _search_cell(turn: np.ndarray):
         queries, query_ids = vectors[is_query], ids[is_query]
         order = np.argsort(ids[~is_query], kind="stable")
         rows, row_ids = vectors[~is_query][order], ids[~is_query][order]
+        once = _once(row_ids, rows)
+        rows, row_ids = rows[once], row_ids[once]
         found: list[tuple[np.ndarray, ...]] = []
         if len(queries) and len(rows):
             turned, turned_queries = units(rows) @ turn, units(queries) @ turn

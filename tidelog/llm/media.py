@@ -11,7 +11,8 @@ interval (a file without restarts is one lane): all lanes of files that share th
 tables read one symbol each at every step, from a table indexed by the next 16 bits.
 
 Null bytes are stored as empty ones, padded like any. A media value that is null or no
-baseline JPEG gets null features. Equal values have equal results; rows are independent.
+baseline JPEG gets null features. Made columns take the place of columns of their names (the media column, width, height, thumb_hash, thumbnail, payload);
+all others stay. An empty table gives an empty one. Equal values have equal results; rows are independent.
 """
 
 from __future__ import annotations

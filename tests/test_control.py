@@ -1,3 +1,6 @@
+import random
+import threading
+
 import pytest
 from pyspark.sql import types as T
 
@@ -76,3 +79,57 @@ def test_command_line(spark, small, tmp_path, capsys):
     assert cli.main(["sql", "apply_delete"]) == 0 and "SELECT" in capsys.readouterr().out
     assert cli.main(["run", "memo_latest", small]) == 0 and "event_id" in capsys.readouterr().out
     assert cli.main(["workload", "20", str(tmp_path / "w")]) == 0 and spark.read.parquet(str(tmp_path / "w")).count() == 20
+
+
+def test_a_lease_is_let_go(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), SCHEMA)
+    a, b, other = control.Lease(table, "x", 10), control.Lease(table, "x", 10), control.Lease(table, "x-1", 10)
+    assert a.try_take(100) and other.try_take(100) and not b.try_take(101)
+    b.release()
+    assert not b.try_take(102)
+    a.release()
+    assert b.try_take(103) and not a.try_take(104)
+    for at in range(110, 200, 8):
+        assert b.try_take(at)
+    assert len(table.folder.names("lease-x-")) <= 4  # two of each at most
+
+
+def test_calls_with_a_common_key_keep_their_order():
+    locks, seen, gate = control.Lockset(4), [], threading.Event()
+
+    def call(name, block=False, fail=False):
+        def run():
+            if block:
+                gate.wait(5)
+            if fail:
+                raise ValueError(name)
+            seen.append(name)
+            return name
+
+        return run
+
+    first = locks.schedule(["a", "b"], call("first", block=True))
+    failing = locks.schedule(["b", "c"], call("failing", fail=True))
+    last = locks.schedule(["c", "a", "c"], call("last"))
+    free = locks.schedule(["d"], call("free"))
+    none = locks.schedule([], call("none"))
+    assert free.result(5) == "free" and none.result(5) == "none" and not last.done() and not failing.done()
+    gate.set()
+    assert first.result(5) == "first" and last.result(5) == "last" and seen[2:] == ["first", "last"]
+    with pytest.raises(ValueError, match="failing"):
+        failing.result(5)
+    locks.close()
+    assert not locks.queues
+
+
+def test_many_calls_on_few_keys():
+    locks, rng, seen = control.Lockset(4), random.Random(5), {k: [] for k in range(6)}
+    wanted = {k: [] for k in seen}
+    futures = []
+    for n in range(300):
+        keys = rng.sample(range(6), rng.randrange(1, 4))
+        for k in keys:
+            wanted[k].append(n)
+        futures.append(locks.schedule(keys, lambda n=n, keys=keys: [seen[k].append(n) for k in keys]))
+    locks.close(futures)
+    assert seen == wanted

@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelog.operators.dedup import last_by_key
+from tidelog.operators.poison import Full
 from tidelog.operators.target import difference
 from tidelog.plans.catalog import Catalog, Table, orphans
 from tidelog.plans.config import TableConfig
 from tidelog.sources import envelope, workload
+from tidelog.streaming.control import Busy
 from tidelog.streaming.engine import Engine
 
 TABLES = {"parent": Table.of("parent", "id long, val long", ("id",)), "child": Table.of("child", "id long, parent long, val long", ("id",))}
@@ -173,3 +175,112 @@ def test_another_format_is_an_error(spark, tmp_path):
     commit.write_text(text.replace('"format": 2', '"format": 1'))
     with pytest.raises(ValueError, match="format 1"):
         e.table("parent")
+
+
+def test_best_effort_stages_what_its_table_refuses(spark, tmp_path):
+    """One that can't be written and later ones of its key wait; others, and earlier ones of the key, are applied."""
+    e = engine(spark, tmp_path, "best_effort")
+    e.accept(
+        mutations(
+            spark,
+            ("parent", "[1]", '{"id":1,"val":1}', 1),
+            ("parent", "[1]", '{"id":1,"val":"much"}', 2),
+            ("parent", "[1]", '{"id":1,"val":3}', 3),
+            ("parent", "[2]", '{"id":2,"val":2,"more":0}', 4),
+            ("parent", "[3]", '{"id":3,"val":3}', 5),
+            ("parent", "[4,5]", None, 6),
+            ("child", "[9]", '{"id":9,"parent":2,"val":1}', 7),
+        ),
+        0,
+    )
+    assert sorted((r.id, r.val) for r in e.table("parent").collect()) == [(1, 1), (3, 3)] and e.table("child").count() == 0
+    assert sorted(r.nanos for r in e.store.read("staged").collect()) == [2, 3, 4, 6, 7]
+    assert e.metrics()["parent"] == {"mutations": 6, "deletes": 1, "waited": 4, "last_nanos": 6} and e.metrics()["child"]["waited"] == 1
+
+
+def test_a_sweep_goes_on_around_refused_transactions(spark, tmp_path):
+    """Transactions wait that share a key with one that waits, or refer to a row of one; the window stays until none does."""
+    e = engine(spark, tmp_path, "consistent")
+    e.accept(
+        mutations(
+            spark,
+            ("parent", "[1]", '{"id":1,"val":"bad"}', 10),
+            ("parent", "[2]", '{"id":2,"val":2}', 10),
+            ("parent", "[2]", '{"id":2,"val":3}', 20),
+            ("parent", "[3]", '{"id":3,"val":3}', 20),
+            ("parent", "[3]", '{"id":3,"val":4}', 30),
+            ("parent", "[4]", '{"id":4,"val":4}', 30),
+            ("parent", "[5]", '{"id":5,"val":5}', 40),
+            ("child", "[6]", '{"id":6,"parent":4,"val":6}', 50),
+            ("child", "[7]", '{"id":7,"parent":5,"val":7}', 60),
+        ),
+        0,
+    )
+    e.advance("p", 100)
+    low = e.bounds().low
+    assert e.sweep()
+    assert [r.id for r in e.table("parent").collect()] == [5] and [r.id for r in e.table("child").collect()] == [7]
+    assert e.bounds().low == low and not e.sweep()
+    repaired = Engine(spark, str(tmp_path), Catalog({**TABLES, "parent": Table.of("parent", "id long, val string", ("id",))}, [("child", "parent")]), references=e.references)
+    assert repaired._free(repaired.store.read("staged")) is None  # a column that holds texts refuses nothing
+
+
+def test_a_sweep_stops_at_too_many_refusals(spark, tmp_path):
+    e = engine(spark, tmp_path, "consistent", poison_cap=1)
+    e.accept(mutations(spark, ("parent", "[1]", "{}", 10), ("parent", "[2]", "{}", 20)), 0)
+    e.advance("p", 100)
+    with pytest.raises(Full):
+        e.sweep()
+
+
+def test_unknown_tables_are_an_error(spark, tmp_path):
+    e = engine(spark, tmp_path, "consistent")
+    with pytest.raises(Exception, match="no table other"):
+        e.accept(mutations(spark, ("other", "[1]", '{"id":1}', 1)), 0)
+    assert e.store.last()["step"] == -1
+
+
+def test_lost_commits_are_made_again(spark, tmp_path):
+    e = engine(spark, tmp_path, "immediate")
+    fail_at(e, {1, 2})
+    assert e.accept(mutations(spark, ("parent", "[1]", '{"id":1,"val":1}', 1)), 0) and e.table("parent").count() == 1
+    e = engine(spark, tmp_path, "immediate", attempts=1)
+    fail_at(e, {1})
+    with pytest.raises(OSError):
+        e.accept(mutations(spark, ("parent", "[2]", '{"id":2,"val":1}', 2)), 1)
+    assert e.table("parent").count() == 1
+
+
+def test_one_engine_at_a_time(spark, tmp_path):
+    row = mutations(spark, ("parent", "[1]", '{"id":1,"val":1}', 1))
+    first, second = (engine(spark, tmp_path, "immediate", lease_seconds=60) for _ in range(2))
+    assert first.accept(row, 0)
+    with pytest.raises(Busy):
+        second.accept(row, 1)
+    first.lease.release()
+    assert second.accept(row, 1) and not second.accept(row, 0)
+
+
+def test_buckets_stay_as_they_are(spark, tmp_path):
+    engine(spark, tmp_path, "immediate").accept(mutations(spark, ("parent", "[1]", '{"id":1,"val":1}', 1)), 0)
+    with pytest.raises(ValueError, match="16 buckets"):
+        engine(spark, tmp_path, "immediate", buckets=8)
+
+
+def test_files_of_an_object_store_are_pulled_once(spark, tmp_path):
+    landing, e = tmp_path / "in" / "2024-01-01", engine(spark, tmp_path / "out", "consistent")
+    landing.mkdir(parents=True)
+    folder = str(landing.parent)
+    stamp = lambda s: f"20240101000000{s:09d}0000000000"
+    line = '{"after":{"id":%d,"val":%d},"key":[%d],"updated":"%d.0000000000"}\n'
+    clock = 1704067200 * 10**9
+    (landing / f"{stamp(1)}-a-1-2-00000000-parent-1.ndjson").write_text(line % (1, 1, 1, clock + 1))
+    assert not e.pull(folder, "p")
+    (landing / f"{stamp(5)}.RESOLVED").write_text("")
+    (landing / f"{stamp(7)}-a-1-2-00000000-parent-1.ndjson").write_text(line % (2, 2, 2, clock + 7))
+    assert e.pull(folder, "p") and not e.pull(folder, "p")
+    assert e.position(folder).endswith(".RESOLVED") and e.sweep() and [r.id for r in e.table("parent").collect()] == [1]
+    (landing / f"{stamp(9)}.RESOLVED").write_text("")
+    assert e.pull(folder, "p") and e.sweep() and sorted(r.id for r in e.table("parent").collect()) == [1, 2]
+    e.retire(keep_seconds=0)
+    assert e.store.read("checkpoints").count() == 1 and e.bounds().low == (clock + 9, 0)

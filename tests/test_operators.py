@@ -10,7 +10,7 @@ from tidelog.functions import hlc, values
 from tidelog.operators import checkpoint, dedup, hooks, mapping, poison, resolve, staging
 from tidelog.operators import target as sink
 from tidelog.plans.catalog import Catalog, Table, depths
-from tidelog.plans.config import TableConfig
+from tidelog.plans.config import SourceConfig, TableConfig
 from tidelog.sources import envelope, logical, objects
 from tidelog.streaming import modes
 
@@ -383,3 +383,27 @@ def test_rows_without_a_key_have_the_same_one_again(spark):
     events = spark.createDataFrame([(1, 1, "insert", "t", None, "{}"), (2, 1, "insert", "t", None, "{}"), (3, 1, "commit", None, None, None)], "lsn long, xid long, kind string, tbl string, key string, data string")
     first, second = ([r.key for r in logical.wal_mutations(events).orderBy("seq").collect()] for _ in range(2))
     assert first == second == ['["3-1"]', '["3-2"]']
+
+
+def test_keys_of_deletes_are_mapped_without_a_map_of_writes(spark):
+    df = spark.createDataFrame([("t", "[1]", None, 1, True), ("t", "[2]", '{"k":2}', 2, False)], "tbl string, key string, data string, nanos long, is_delete boolean").withColumn("logical", F.lit(0))
+    source = SourceConfig(delete_key={"t": lambda _: F.lit("[9]")})
+    out = hooks.pipeline(df, source, Catalog({"t": Table.of("t", "k long", ("k",))}))
+    assert sorted(r.key for r in out.collect()) == ["[2]", "[9]"]
+
+
+def test_refused_mutations(spark):
+    table = Table.of("t", "k long, v int, at date", ("k",))
+    data = [(1, '{"k":1,"v":1,"at":"2024-01-01"}'), (2, '{"k":2,"v":"x"}'), (3, '{"k":3,"v":99999999999,"at":"no"}'), (4, '{"k":4,"v":null}'), (5, '{"v":1}'), (6, "["), (7, '{"k":7,"z":1}')]
+    df = spark.createDataFrame([("t", f"[{k}]", d, k, False) for k, d in data] + [("t", "[8]", None, 8, True), ("t", "[8,9]", None, 9, True), ("t", '["x"]', None, 10, True), ("t", "x", None, 11, True)], "tbl string, key string, data string, nanos long, is_delete boolean").withColumn("logical", F.lit(0))
+    out = {r.nanos: r.reason for r in mapping.refused(df, table).collect()}
+    assert out == {2: "values that don't fit: v", 3: "values that don't fit: v, at", 5: "missing keys: k", 6: "missing keys: k", 7: "unexpected columns: z", 9: "a delete's key has another length", 10: "a delete's key doesn't fit", 11: "a delete's key has another length"}
+
+
+def test_compacted_checkpoints_have_the_same_window(spark):
+    rng = random.Random(8)
+    for _ in range(6):
+        log = [("g", f"p{rng.randrange(3)}", rng.randrange(20), rng.randrange(3), rng.random() < 0.6) for _ in range(25)]
+        df = spark.createDataFrame(log, "grp string, part string, nanos long, logical int, applied boolean")
+        small = checkpoint.compact(df)
+        assert rows(checkpoint.refresh(small)) == rows(checkpoint.refresh(df)) and small.count() <= df.distinct().count()

@@ -58,6 +58,14 @@ def refresh(log: DataFrame) -> DataFrame:
     return out.select("grp", low["nanos"].alias("low_nanos"), low["logical"].alias("low_logical"), F.col("high.nanos").alias("high_nanos"), F.col("high.logical").alias("high_logical"))
 
 
+def compact(log: DataFrame) -> DataFrame:
+    """The log without checkpoints that no window depends on: each group's low end, what isn't applied and each partition's last one stay."""
+    ends = log.groupBy("grp", "part").agg(F.max(_clock()).alias("last"))
+    low = refresh(log).select("grp", F.struct(F.col("low_nanos").alias("nanos"), F.col("low_logical").alias("logical")).alias("low"))
+    kept = log.join(ends, ["grp", "part"]).join(low, "grp").where(~F.col("applied") | (_clock() == F.col("last")) | (_clock() == F.col("low")))
+    return kept.select(*log.columns).distinct()
+
+
 def unapplied_groups(log: DataFrame) -> DataFrame:
     return log.where(~F.col("applied")).select("grp").distinct()
 

@@ -118,7 +118,7 @@ def pipeline(df: DataFrame, source: SourceConfig, catalog: Catalog) -> DataFrame
     for name, hook in source.map.items():
         mine = rekey(map_documents(writes.where(F.col("tbl") == name), hook), catalog.tables[name])
         writes = writes.where(F.col("tbl") != name).unionByName(mine.select(*writes.columns))
-        if name in source.delete_key:
-            gone = map_keys(deletes.where(F.col("tbl") == name), source.delete_key[name], len(catalog.tables[name].keys))
-            deletes = deletes.where(F.col("tbl") != name).unionByName(gone)
+    for name, hook in source.delete_key.items():
+        gone = map_keys(deletes.where(F.col("tbl") == name), hook, len(catalog.tables[name].keys))
+        deletes = deletes.where(F.col("tbl") != name).unionByName(gone)
     return writes.unionByName(deletes.select(*writes.columns))

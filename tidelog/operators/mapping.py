@@ -29,13 +29,14 @@ def _source(name: str, config: TableConfig) -> str:
     return config.rename.get(name, name).lower()
 
 
-def map_columns(df: DataFrame, table: Table, config: TableConfig = TableConfig(), data: str = "data") -> DataFrame:
+def map_columns(df: DataFrame, table: Table, config: TableConfig = TableConfig(), data: str = "data", lenient: bool = False) -> DataFrame:
     """df with the table's columns instead of the payload.
 
     A property that is absent takes the column's default, one that is null stays null, and one that the column's type can't
     hold is an error. Ignored and generated columns
     don't appear. Unknown properties go to the extras column as sorted JSON, or are reported in `unexpected`, a
     sorted array; keys that are absent or null and have no default are reported in `missing`, all of them if the payload is no JSON object.
+    A lenient mapping makes values null that a type can't hold, and reports their columns in `unfit`. Replacement expressions fail as they do.
     """
     config.check(table)
     rest = [c for c in df.columns if c != data]
@@ -43,10 +44,15 @@ def map_columns(df: DataFrame, table: Table, config: TableConfig = TableConfig()
     columns = _wanted(table, config)
     known = [_source(c.name, config) for c in columns] + [c.lower() for c in config.ignore] + [c.name.lower() for c in table.columns if c.generated]
     out: list[Column] = []
+    unfit: list[Column] = []
     for c in columns:
         name = _source(c.name, config)
-        read = f"variant_get(__m[{_quoted(name)}], '$', '{_readable(c.type)}')"
-        value = F.expr(config.exprs.get(c.name, "$0").replace("$0", read)).cast(c.type)
+        read = f"{'try_' if lenient else ''}variant_get(__m[{_quoted(name)}], '$', '{_readable(c.type)}')"
+        value = F.expr(config.exprs.get(c.name, "$0").replace("$0", read))
+        value = value.try_cast(c.type) if lenient else value.cast(c.type)
+        if lenient and c.name not in config.exprs:
+            given = F.map_contains_key("__m", F.lit(name)) & ~F.coalesce(F.is_variant_null(F.col("__m")[name]), F.lit(False))
+            unfit.append(F.when(given & value.isNull(), F.lit(c.name)))
         if c.default is not None:
             value = F.when(F.map_contains_key("__m", F.lit(name)), value).otherwise(F.expr(c.default).cast(c.type))
         out.append(value.alias(c.name))
@@ -60,7 +66,10 @@ def map_columns(df: DataFrame, table: Table, config: TableConfig = TableConfig()
     keys = [_source(c.name, config) for c in columns if c.primary and c.default is None] or ["payload"]
     lacks = lambda k: F.col("__m").isNull() | (F.lit(keys != ["payload"]) & (~F.map_contains_key("__m", k) | F.coalesce(F.is_variant_null(F.col("__m")[k]), F.lit(False))))
     missing = F.filter(F.array(*(F.lit(k) for k in keys)), lacks)
-    return df.select(*rest, *out, unexpected.alias("unexpected"), missing.alias("missing"))
+    reports = [unexpected.alias("unexpected"), missing.alias("missing")]
+    if lenient:
+        reports.append(F.array_compact(F.array(*unfit, F.lit(None).cast("string"))).alias("unfit"))
+    return df.select(*rest, *out, *reports)
 
 
 def _quoted(text: str) -> str:
@@ -94,6 +103,21 @@ def valid(mapped: DataFrame) -> DataFrame:
     return mapped.where((F.size("missing") == 0) & (F.size("unexpected") == 0)).drop("unexpected", "missing")
 
 
+def refused(df: DataFrame, table: Table, config: TableConfig = TableConfig()) -> DataFrame:
+    """(tbl, key, nanos, logical, reason) of mutations that the table can't take: payloads that violate it, values that don't fit, keys of another length."""
+    place = ["tbl", "key", "nanos", "logical"]
+    mapped = map_columns(df.where("NOT is_delete").select(*(F.col(c).alias(f"__{c}") for c in place), "data"), table, config, lenient=True)
+    unfit = F.when(F.size("unfit") > 0, F.concat(F.lit("values that don't fit: "), F.array_join("unfit", ", ")))
+    writes = mapped.select(*(F.col(f"__{c}").alias(c) for c in place), F.coalesce(violation(), unfit).alias("reason"))
+    keys = [c for c in table.columns if c.primary]
+    parts = F.from_json("key", "array<string>")
+    fits = [F.try_element_at(parts, F.lit(i + 1)).try_cast(c.type).isNotNull() for i, c in enumerate(keys) if c.name not in config.exprs]
+    fit = F.coalesce(F.size(parts) == len(keys), F.lit(False))
+    reason = F.when(~fit, "a delete's key has another length").when(~F.forall(F.array(F.lit(True), *fits), lambda x: x), "a delete's key doesn't fit")
+    deletes = df.where("is_delete").select(*place, reason.alias("reason"))
+    return writes.unionByName(deletes).where("reason IS NOT NULL")
+
+
 def delete_keys(df: DataFrame, table: Table, config: TableConfig = TableConfig(), key: str = "key") -> DataFrame:
     """Typed keys of deletes from their JSON arrays; replacement expressions apply; `arity` tells whether the array fits."""
     values = F.from_json(F.col(key), "array<string>")

@@ -51,7 +51,8 @@ def spread(batches: DataFrame, poisoned: DataFrame, rounds: int | None = None) -
     The fold over ordered batches as joins: without rounds they go on, each checkpointed, until no key is poisoned anew or earlier,
     which gives what PoisonSet gives; with rounds, chains longer than those are cut.
     """
-    bad = poisoned.groupBy("key").agg(F.min(F.col("since").cast("long")).alias("since"))
+    kind = batches.schema["batch"].dataType  # batches are numbers in order
+    bad = poisoned.groupBy("key").agg(F.min(F.col("since").cast(kind)).alias("since"))
     if rounds is None:
         shared_checkpoints(batches.sparkSession)
     done, seen = 0, None

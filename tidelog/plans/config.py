@@ -27,7 +27,7 @@ class TableConfig:
     merge: str | Callable | None = None
     #: Queue of conflicts that the merge leaves.
     dlq: str | None = None
-    #: Accepted for compatibility; partitions size themselves.
+    #: Rows of one statement, for targets that are written by statements. The store takes a batch as a whole, so it only checks the value.
     row_limit: int = 100
 
     def check(self, table: Table) -> None:
@@ -35,6 +35,8 @@ class TableConfig:
         for what, names in (("cas", self.cas), ("deadline", self.deadlines), ("expression", self.exprs), ("rename", self.rename), ("extras", (self.extras,) if self.extras else ())):
             if missing := [n for n in names if table.column(n) is None]:
                 raise ValueError(f"{what}: no column {', '.join(missing)} in {table.name}")
+        if self.row_limit < 1:
+            raise ValueError(f"{table.name}: a statement has a row at least, not {self.row_limit}")
         if self.merge and not (self.cas or self.deadlines):
             raise ValueError(f"{table.name}: a merge needs compare-and-set or a deadline")
         lower = [c.name.lower() for c in table.columns]

@@ -6,8 +6,12 @@ import json
 import random
 import time
 import uuid
-from collections.abc import Callable
+from collections import deque
+from collections.abc import Callable, Hashable, Iterable
+from concurrent.futures import Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
+from threading import Lock
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,19 +42,36 @@ class Lease:
     nonce: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def try_take(self, now: float | None = None) -> bool:
+        """Takes the lease, or goes on with it once half of it is over; False if another one has it."""
         now = time.time() if now is None else now
-        folder, names = self.table.folder, self.table.folder.names(f"lease-{self.name}-")
+        folder, prefix = self.table.folder, f"lease-{self.name}-"
+        names = [n for n in folder.names(prefix) if n[len(prefix):].isdigit()]
         if names:
             held = json.loads(folder.read(names[-1]))
             if held["expires"] > now and held["nonce"] != self.nonce:
                 return False
-        turn = int(names[-1].rsplit("-", 1)[1]) + 1 if names else 0
+            if held["nonce"] == self.nonce and held["expires"] - now > self.seconds / 2:
+                return True
+        turn = int(names[-1][len(prefix):]) + 1 if names else 0
         try:
-            folder.create(f"lease-{self.name}-{turn:020d}", json.dumps({"nonce": self.nonce, "expires": now + self.seconds}))
+            folder.create(f"{prefix}{turn:020d}", json.dumps({"nonce": self.nonce, "expires": now + self.seconds}))
         except OSError:
             return False  # another one took this turn
+        for old in names[:-1]:  # the last one stays, for those that read it just now
+            folder.remove(old)
         return True
 
+    def release(self) -> None:
+        """Lets others have it at once, if it is held here."""
+        folder, prefix = self.table.folder, f"lease-{self.name}-"
+        names = [n for n in folder.names(prefix) if n[len(prefix):].isdigit()]
+        if names and json.loads(folder.read(names[-1]))["nonce"] == self.nonce:
+            folder.create(f"{prefix}{int(names[-1][len(prefix):]) + 1:020d}", json.dumps({"nonce": self.nonce, "expires": 0.0}))
+
+
+class Busy(RuntimeError):
+    """Another one holds the lease."""
+
 
 # ---------------------------------------------------------------- memo
 
@@ -92,7 +113,60 @@ def retry(call: Callable, again: Callable[[Exception], bool], attempts: int = 10
 
 
 def transient(error: Exception) -> bool:
-    return getattr(error, "status", None) in TRANSIENT
+    return isinstance(error, OSError) or getattr(error, "status", None) in TRANSIENT
+
+
+# ---------------------------------------------------------------- scheduling
+
+
+class Lockset:
+    """Runs calls that name the keys they touch: those that share a key in the order they came, the others side by side."""
+
+    def __init__(self, workers: int = 4):
+        self.pool = ThreadPoolExecutor(workers)
+        self.lock = Lock()
+        self.queues: dict[Hashable, deque] = {}
+
+    def schedule(self, keys: Iterable[Hashable], call: Callable[[], Any]) -> Future:
+        """The call's future. It starts once it is first in line for each of its keys; one that fails lets the next go on."""
+        task = (frozenset(keys), call, Future())
+        with self.lock:
+            for key in task[0]:
+                self.queues.setdefault(key, deque()).append(task)
+            ready = self._first(task)
+        if ready:
+            self.pool.submit(self._run, task)
+        return task[2]
+
+    def _first(self, task: tuple) -> bool:
+        return all(self.queues[key][0] is task for key in task[0])
+
+    def _run(self, task: tuple) -> None:
+        keys, call, future = task
+        try:
+            result, error = call(), None
+        except BaseException as failure:  # it is the future's to tell
+            result, error = None, failure
+        heirs = []
+        with self.lock:
+            for key in keys:
+                self.queues[key].popleft()
+                if not self.queues[key]:
+                    del self.queues[key]
+                elif self.queues[key][0] not in heirs:
+                    heirs.append(self.queues[key][0])
+            heirs = [t for t in heirs if self._first(t)]
+        for heir in heirs:
+            self.pool.submit(self._run, heir)
+        if error is None:
+            future.set_result(result)
+        else:
+            future.set_exception(error)
+
+    def close(self, futures: Iterable[Future] = ()) -> None:
+        """Waits for the calls, then for the workers."""
+        wait(futures)
+        self.pool.shutdown()
 
 
 # ---------------------------------------------------------------- metrics

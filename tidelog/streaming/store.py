@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 
 from tidelog.streaming.table import _Folder
 
 FORMAT = 2
+#: Jobs of one step that run side by side; most are small.
+WRITERS = 4
 #: The column that rows are dealt to folders by.
 BUCKET = "__bucket"
 
@@ -53,6 +57,13 @@ class Store:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*(f"{self.path}/{p}" for p in paths))
 
+    def _write(self, writes: list[tuple[DataFrameWriter, str]]) -> None:
+        """Writes to folders, several at once; the first error counts, after all have ended."""
+        with ThreadPoolExecutor(WRITERS) as pool:
+            write = inheritable_thread_target(self.spark)(lambda writer, folder: writer.mode("overwrite").parquet(f"{self.path}/{folder}"))
+            for done in [pool.submit(write, *w) for w in writes]:
+                done.result()
+
     def commit(self, tables: dict[str, DataFrame] | None = None, appended: dict[str, DataFrame] | None = None, compacted: dict[str, DataFrame] | None = None, meta: dict | None = None, touched: dict[str, tuple[Column, list[int]]] | None = None) -> int:
         """One step: new states of tables, rows for logs, logs rewritten as a whole, and facts to remember. Returns its number.
 
@@ -60,23 +71,26 @@ class Store:
         """
         last = self.last()
         step = last["step"] + 1
+        writes = []
         for name, df in (tables or {}).items():
             rows, folder = df.select(*self.tables[name].names), f"{name}/v={step}"
             if name not in (touched or {}):
-                rows.write.mode("overwrite").parquet(f"{self.path}/{folder}")
+                writes.append((rows.write, folder))
                 last["tables"][name] = {"": folder}
-                continue
-            bucket, numbers = touched[name]
-            rows.withColumn(BUCKET, bucket).repartition(BUCKET).write.partitionBy(BUCKET).mode("overwrite").parquet(f"{self.path}/{folder}")
-            written = {n.split("=")[1]: f"{folder}/{n}" for n in self.folder.names(f"{BUCKET}=", folder)}
-            kept = {b: path for b, path in last["tables"].get(name, {}).items() if int(b) not in numbers}
-            last["tables"][name] = kept | written
+            else:
+                writes.append((rows.withColumn(BUCKET, touched[name][0]).repartition(BUCKET).write.partitionBy(BUCKET), folder))
         for name, df in (compacted or {}).items():
-            df.select(*self.logs[name].names).write.mode("overwrite").parquet(f"{self.path}/{name}/base={step}")
+            writes.append((df.select(*self.logs[name].names).write, f"{name}/base={step}"))
             last["logs"][name] = {"base": f"{name}/base={step}", "steps": []}
         for name, df in (appended or {}).items():
-            df.select(*self.logs[name].names).write.mode("overwrite").parquet(f"{self.path}/{name}/step={step}")
+            writes.append((df.select(*self.logs[name].names).write, f"{name}/step={step}"))
             last["logs"].setdefault(name, {"base": None, "steps": []})["steps"].append(step)
+        self._write(writes)
+        for name, (_, numbers) in (touched or {}).items():
+            folder = f"{name}/v={step}"
+            written = {n.split("=")[1]: f"{folder}/{n}" for n in self.folder.names(f"{BUCKET}=", folder)}
+            kept = {b: path for b, path in last["tables"].get(name, {}).items() if int(b) not in numbers}
+            last["tables"][name] = kept | written
         last |= {"step": step, "meta": last["meta"] | (meta or {})}
         self.folder.create(f"commit-{step:020d}", json.dumps(last))
         return step

@@ -43,6 +43,9 @@ class _Folder:
         if not self.fs.rename(part, self.path(name)):
             raise OSError(f"{name} exists already")
 
+    def remove(self, name: str) -> None:
+        self.fs.delete(self.path(name), False)
+
     def names(self, prefix: str, folder: str | None = None) -> list[str]:
         place = self.path(folder) if folder else self.root
         if not self.fs.exists(place):

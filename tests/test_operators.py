@@ -407,3 +407,34 @@ def test_compacted_checkpoints_have_the_same_window(spark):
         df = spark.createDataFrame(log, "grp string, part string, nanos long, logical int, applied boolean")
         small = checkpoint.compact(df)
         assert rows(checkpoint.refresh(small)) == rows(checkpoint.refresh(df)) and small.count() <= df.distinct().count()
+
+
+@pytest.mark.parametrize("a, b, same", [('{"a":1}', '{"a":"1"}', True), ("1E+2", "100", True), ('"x 1.50"', '"x 1.5"', False), ("true", '"true"', False), ("null", "null", True), (None, "null", False), (None, None, True), ("[1,[2.0]]", '["1",["2"]]', True), ("[1,2]", "[2,1]", False), ("[1", "[1", True), ('{"a":{"b":0.12345678901234567890123456789012345678901}}', '{"a":{"b":"0.12345678901234567890123456789012345678901"}}', True), ('{"a\\"1":2}', '{"a\\"1":2.0}', True)])
+def test_same_value(spark, a, b, same):
+    row = spark.createDataFrame([(a, b)], "a string, b string")
+    assert row.select(values.same_value(F.col("a"), F.col("b")).alias("x")).first().x == same
+
+
+def test_gzip_values(spark):
+    raw = [b"", b"x" * 1024, b"x" * 1025, random.Random(3).randbytes(3000), None]
+    out = spark.createDataFrame([(r,) for r in raw], "raw binary").select("raw", values.gzip_value("raw").alias("kept")).withColumn("back", values.gunzip_value("kept")).collect()
+    assert [r.back for r in out] == raw and [r.kept == r.raw for r in out] == [True, True, False, True, True]
+
+
+@pytest.mark.parametrize("text, kind", [("x", "RAW(16)"), ("2024-01-01T00:00:00", "TIMESTAMP(6) WITH TIME ZONE"), ("2024-01-01", "TIMESTAMP(3)"), ("2024-01-01T00:00:00Z", "DATE")])
+def test_typed_texts_of_another_form(spark, text, kind):
+    assert spark.range(1).select(values.typed_text(F.lit(None).cast("string"), kind).alias("x")).first().x is None
+    with pytest.raises(Exception, match="no "):
+        spark.range(1).select(values.typed_text(F.lit(text), kind)).collect()
+
+
+@pytest.mark.parametrize("a, b, flavor, less", [("", "s:1", "mysql", True), ("s:1", "", "mysql", False), ("", "", "mysql", False), (None, "s:1", "mysql", True), ("s:5,t:1-2", "t:1-3, s:1-9", "mysql", True), ("s:1-3:7", "s:1-6", "mysql", False), ("0-1-5", "0-1-6", "mariadb", True), ("0-1-5,1-1-1", "0-1-6", "mariadb", False)])
+def test_gtid_less(spark, a, b, flavor, less):
+    row = spark.createDataFrame([(a, b)], "a string, b string")
+    assert row.select(logical.gtid_less(F.col("a"), F.col("b"), flavor).alias("x")).first().x == less
+
+
+def test_a_catalog_from_an_information_schema(spark):
+    info = spark.createDataFrame([("t", "v", "string", 2, False, False, None), ("t", "k", "long", 1, True, False, None), ("t", "k", "long", 1, False, False, None), ("t", "g", "int", 3, False, True, None)], "tbl string, column_name string, kind string, ordinal int, is_key boolean, is_generated boolean, default string")
+    table = Catalog.described(info).tables["t"]
+    assert [(c.name, c.type, c.primary, c.generated) for c in table.columns] == [("k", "long", True, False), ("v", "string", False, False), ("g", "int", False, True)]

@@ -29,6 +29,14 @@ def unapplied(staged: DataFrame, applied: DataFrame) -> DataFrame:
 
 filter_applied = unapplied
 
+#: Fixed value: what stands in place of a mutation that was applied without having been staged.
+STUB = '{"__stub__":true}'
+
+
+def emitted(staged: DataFrame) -> DataFrame:
+    """Staged mutations without stubs, which say only that something was applied. This package's logs hold none; those of other writers do."""
+    return staged.where(F.col("data").isNull() | (F.regexp_replace("data", r"\s", "") != STUB))
+
 
 def mark(applied: DataFrame, rows: DataFrame) -> DataFrame:
     """The applied log with rows marked; repeats add nothing."""

@@ -62,6 +62,14 @@ class Catalog:
             placed |= set(ready)
         return out
 
+    @staticmethod
+    def described(info: DataFrame, references: list[tuple[str, str]] = ()) -> Catalog:
+        """From rows (tbl, column_name, kind, ordinal, is_key, is_generated, default) of an information schema, one for each constraint on a column."""
+        tables: dict[str, list[Column]] = {}
+        for r in columns_once(info).orderBy("tbl", "ordinal").collect():  # names of columns
+            tables.setdefault(r.tbl, []).append(Column(r.column_name, r.kind, r.is_key, r.is_generated, r.default))
+        return Catalog({t: Table(t, tuple(sorted(c, key=lambda c: not c.primary))) for t, c in tables.items()}, list(references))
+
     @staticmethod
     def discovered(spark: SparkSession, keys: dict[str, tuple[str, ...]], references: list[tuple[str, str]] = ()) -> Catalog:
         """Of the session's tables and views that have declared keys."""
@@ -72,6 +80,14 @@ class Catalog:
         return Catalog(tables, list(references))
 
 
+def columns_once(info: DataFrame) -> DataFrame:
+    """Each column once, at its first place; it is a key if one of its constraints says so."""
+    first = lambda c: F.min_by(c, "ordinal").alias(c)
+    return info.groupBy("tbl", "column_name").agg(
+        F.min("ordinal").alias("ordinal"), first("kind"), F.bool_or("is_key").alias("is_key"), F.bool_or("is_generated").alias("is_generated"), first("default")
+    )
+
+
 def depths(spark: SparkSession, tables: DataFrame, references: DataFrame) -> DataFrame:
     """(tbl, depth) of tables (tbl) under references (child, parent); -1 for members and descendants of a cycle.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import hlc, values
-from tidelog.operators import checkpoint, hooks, poison, staging
+from tidelog.operators import checkpoint, hooks, mapping, poison, staging
 from tidelog.operators.dedup import last_by_key
 from tidelog.plans import catalog
 from tidelog.plans.catalog import Catalog, Table
@@ -460,13 +460,93 @@ def objstore_table_name(t: Tables) -> DataFrame:
     return _objects(t).select(values.table_of_path(F.col("path")).alias("tbl")).groupBy("tbl").agg(F.count("*").alias("n"))
 
 
-@query("SELECT CASE o_orderkey % 4 WHEN 0 THEN 'resolved' WHEN 1 THEN 'ndjson' WHEN 2 THEN 'webhook' END AS kind, CASE WHEN o_orderkey % 4 < 3 THEN 'db' || (o_orderkey % 7) END AS db, count(*) AS n FROM orders GROUP BY ALL")
+@query("""SELECT o_orderkey AS id, v.kind, CASE WHEN v.kind IS NOT NULL THEN 'db' || (o_orderkey % 7) END AS db, v.tbl,
+    CASE WHEN v.kind = 'resolved' THEN '202004042351304139680000000000000' END AS marker FROM orders JOIN (VALUES (0, 'resolved', NULL), (1, 'ndjson', 'REAL-42'), (2, 'webhook', NULL), (3, 'resolved', 'a table'),
+    (4, 'ndjson', 'a table'), (5, 'webhook', '2020-04-04'), (6, 'ndjson', 'My.T'), (7, NULL, NULL), (8, NULL, NULL), (9, NULL, NULL)) AS v(k, kind, tbl) ON o_orderkey % 10 = v.k""")
 def url_route(t: Tables) -> DataFrame:
+    """Paths to schemas and tables, with escapes and empty parts; too long ones and unfinished names lead nowhere."""
     k = F.col("o_orderkey")
-    db = F.concat(F.lit("/db"), (k % 7).cast("string"), F.lit("/sch"))
-    stamp = F.lit("/2020-04-04/202004042351304139680000000000000")
-    path = F.when(k % 4 == 0, F.concat(db, stamp, F.lit(".RESOLVED"))).when(k % 4 == 1, F.concat(db, stamp, F.lit("-x-1-2-00000000-t-1.ndjson"))).when(k % 4 == 2, db).otherwise(F.concat(db, F.lit("/extra"), stamp, F.lit(".RESOLVED")))
-    return t("orders").select(objects.route(path).alias("r")).select("r.kind", "r.db").groupBy("kind", "db").agg(F.count("*").alias("n"))
+    stamp = "/2020-04-04/202004042351304139680000000000000"
+    rest = [f"{stamp}.RESOLVED", f"{stamp}-x-1-2-00000000-REAL-42-1.ndjson", "//", f"/a%20table{stamp}.RESOLVED", f"/a+table/{stamp}-x-1-2-00000000-t-1.ndjson", "/2020-04-04"]
+    rest += [f'{stamp}-x-1-2-00000000-other."My.T"-1.ndjson', "/a/b/c/d/e/f/g", f"/x/y{stamp}.RESOLVED", f"{stamp}0.RESOLVED"]
+    path = F.concat(F.lit("/db"), (k % 7).cast("string"), F.lit("/sch"), F.element_at(F.array(*map(F.lit, rest)), (k % 10 + 1).cast("int")))
+    r = objects.route(path).alias("r")
+    return t("orders").select(k.alias("id"), r).select("id", "r.kind", "r.db", F.col("r.table").alias("tbl"), "r.marker")
+
+
+@query("""SELECT c_custkey AS id, c_custkey % 6 IN (1, 2, 4) AS less, c_custkey % 2 = 0 AS maria FROM customer""")
+def gtid_order(t: Tables) -> DataFrame:
+    """Sets of transaction ids, of which some are true parts of others; touching spans are one."""
+    k = F.col("c_custkey")
+    n = (k + 5).cast("string")
+    pairs = [  # equal, part, part by another server, neither, part across touching spans, more
+        ("S:1-{n}", "s:1-3:4-{n}"), ("s:2-4", "s:1-{n}"), ("s:1-{n}", "s:1-{n},t:1"), ("s:1-{n},u:3", "s:1-{n},t:1"), ("s:2-5", "s:1-3:4-{n}"), ("s:1-{n}", ""),
+    ]
+    text = lambda i: F.element_at(F.array(*(F.replace(F.lit(p[i]), F.lit("{n}"), n) for p in pairs)), (k % 6 + 1).cast("int"))
+    maria = logical.gtid_less(F.concat(F.lit("0-1-"), n), F.concat(F.lit("0-1-"), (k + 6 - k % 2).cast("string"), F.lit(", 1-1-7")), "mariadb")
+    lower = logical.gtid_less(F.concat(F.lit("0-2-"), n), F.concat(F.lit("0-1-"), n), "mariadb")
+    return t("customer").select(k.alias("id"), logical.gtid_less(text(0), text(1)).alias("less"), ((k % 2 == 0) & maria & ~lower).alias("maria"))
+
+
+@query("SELECT p_partkey AS id, p_size % 5 IN (0, 1, 2) AS same FROM part")
+def deep_equal(t: Tables) -> DataFrame:
+    """Values inside objects and lists: a number equals its text in any form, a boolean only itself, an order of keys is none."""
+    size = F.col("p_size").cast("string")
+    ten = F.concat(size, F.lit("0"))
+    a = F.concat(F.lit('{"b": [1.50, {"x": '), ten, F.lit(', "y": null}], "a": true}'))
+    x = F.element_at(F.array(ten, F.concat(F.lit('"'), ten, F.lit('"')), F.concat(size, F.lit("e+1")), F.concat(F.lit("1"), ten), ten), (F.col("p_size") % 5 + 1).cast("int"))
+    flag = F.when(F.col("p_size") % 5 == 4, F.lit('"true"')).otherwise(F.lit("true"))
+    b = F.concat(F.lit('{"a":'), flag, F.lit(',"b":["1.5",{"y":null,"x":'), x, F.lit("}]}"))
+    return t("part").select(F.col("p_partkey").alias("id"), values.same_value(a, b).alias("same"))
+
+
+@query("SELECT p_partkey AS id, p_partkey % 5 * 300 + length(p_name) AS n, p_partkey % 5 * 300 + length(p_name) > 1024 AS packed, md5(p_name || repeat('x', CAST(p_partkey % 5 * 300 AS BIGINT))) AS digest FROM part")
+def gzip_long_values(t: Tables) -> DataFrame:
+    """Long values are stored compressed and come back as they were; short ones are stored as they are."""
+    raw = F.concat("p_name", F.repeat(F.lit("x"), (F.col("p_partkey") % 5 * 300).cast("int"))).cast("binary")
+    rows = t("part").select(F.col("p_partkey").alias("id"), raw.alias("raw")).select("id", "raw", values.gzip_value("raw").alias("kept"))
+    back = rows.withColumn("back", values.gunzip_value("kept"))
+    return back.select("id", F.length("raw").cast("long").alias("n"), (F.length("kept") < F.length("raw")).alias("packed"), F.md5("back").alias("digest"))
+
+
+@query("""SELECT o_orderkey AS id, upper(lpad(to_hex(o_orderkey), 32, '0')) AS raw, CAST(o_orderdate AS DATE) AS day, CAST(epoch_us(CAST(o_orderdate AS TIMESTAMP)) AS BIGINT) + 45296120000 - CASE WHEN o_orderkey % 2 = 0 THEN 7200000000 ELSE 0 END AS at FROM orders""")
+def typed_texts(t: Tables) -> DataFrame:
+    """UUIDs, times with and without zone, and dates, from their texts."""
+    k, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    digits = F.lpad(F.lower(F.hex(k)), 32, "0")
+    dashed = F.concat_ws("-", *(digits.substr(a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
+    raw = F.when(k % 3 == 0, dashed).when(k % 3 == 1, F.concat(F.lit("\\x"), digits)).otherwise(F.concat(F.lit("{"), dashed, F.lit("}")))
+    clock = F.concat(day, F.lit("T12:34:56.12"), F.when(k % 2 == 0, "+02:00").otherwise(""))
+    at = F.unix_micros(values.typed_text(clock, "TIMESTAMP(6)"))
+    return t("orders").select(k.alias("id"), F.hex(values.typed_text(raw, "RAW(16)")).alias("raw"), values.typed_text(day, "DATE").alias("day"), at.alias("at"))
+
+
+@query("SELECT key FROM feed WHERE seq % 5 <> 0", "feed")
+def stub_filter(t: Tables) -> DataFrame:
+    """What another writer's staging table emits: everything but its stubs."""
+    rows = t.feed().withColumn("data", F.when(F.col("seq") % 10 == 0, F.lit('{"__stub__":true}')).when(F.col("seq") % 5 == 0, F.lit('{"__stub__": true}')).when(F.col("seq") % 7 == 0, F.lit(None)).otherwise(F.lit('{"__stub__":false}')))
+    return staging.emitted(rows).select("key")
+
+
+@query("SELECT 't' || (c_custkey % 40) AS tbl, 'c' || (c_custkey % 120) AS column_name, min(c_custkey) AS ordinal, bool_or(c_custkey % 7 = 0) AS is_key, min_by(c_mktsegment, c_custkey) AS kind FROM customer GROUP BY ALL")
+def catalog_columns_once(t: Tables) -> DataFrame:
+    """Columns of an information schema that names a column once for each of its constraints."""
+    k = F.col("c_custkey")
+    info = t("customer").select(F.concat(F.lit("t"), (k % 40).cast("string")).alias("tbl"), F.concat(F.lit("c"), (k % 120).cast("string")).alias("column_name"), F.col("c_mktsegment").alias("kind"), k.alias("ordinal"), (k % 7 == 0).alias("is_key"), F.lit(False).alias("is_generated"), F.lit(None).cast("string").alias("default"))
+    return catalog.columns_once(info).select("tbl", "column_name", "ordinal", "is_key", "kind")
+
+
+@query("""SELECT '[' || o_orderkey || ']' AS key, CASE o_orderkey % 6 WHEN 0 THEN 'values that don''t fit: v' WHEN 1 THEN 'missing keys: k' WHEN 2 THEN 'unexpected columns: z' WHEN 3 THEN 'a delete''s key has another length' END AS reason FROM orders WHERE o_orderkey % 6 < 4""")
+def refused_mutations(t: Tables) -> DataFrame:
+    """Mutations that a table can't take, each with what is wrong with it."""
+    k = F.col("o_orderkey")
+    s = k.cast("string")
+    bodies = ['{"k":#,"v":"x"}', '{"v":1}', '{"k":#,"v":1,"z":2}', None, '{"k":#,"v":7}', None]
+    data = F.element_at(F.array(*(F.replace(F.lit(b), F.lit("#"), s) for b in bodies)), (k % 6 + 1).cast("int"))
+    own = F.concat(F.lit("["), s, F.when(k % 6 == 3, F.lit(",1]")).otherwise(F.lit("]")))
+    rows = t("orders").select(F.lit("t").alias("tbl"), own.alias("key"), data.alias("data"), k.alias("nanos"), F.lit(0).alias("logical")).withColumn("is_delete", F.col("data").isNull())
+    out = mapping.refused(rows, Table.of("t", "k long, v int", ("k",)))
+    return out.select(F.concat(F.lit("["), F.regexp_extract("key", "([0-9]+)", 1), F.lit("]")).alias("key"), "reason")
 
 
 @query("SELECT o_custkey * 100000000 + 99999999 AS nanos, '[' || o_orderkey || ']' AS key, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END AS data, o_orderkey % 3 = 0 AS is_delete FROM orders WHERE o_custkey % 10 <> 0 AND o_custkey > 20")

@@ -5,7 +5,7 @@ Live wire protocols are out of scope; what they deliver, decoded, is a table of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.operators.mapping import UNCHANGED
@@ -44,6 +44,35 @@ def gtid_intervals(sets: DataFrame, column: str = "gtid") -> DataFrame:
     return rows.select(*[c for c in sets.columns], "server", ends[0].cast("long").alias("low"), F.element_at(ends, -1).cast("long").alias("high"))
 
 
+def _spans(gtid: Column, flavor: str) -> Column:
+    """A set's spans (server, low, high), those of a server in order and as few as they can be."""
+    sets = F.filter(F.split(F.regexp_replace(gtid, r"\s", ""), ","), lambda p: p != "")
+    span = lambda server, low, high: F.struct(server.alias("server"), low.cast("long").alias("low"), high.cast("long").alias("high"))
+    if flavor == "mariadb":  # domain-server-number: all up to the number
+        spans = F.transform(sets, lambda p: span(F.regexp_extract(p, "^(.*)-", 1), F.lit(0), F.regexp_extract(p, "([0-9]+)$", 1)))
+    else:  # server:low-high:low-high
+        ends = lambda server, s: span(F.lower(server), F.element_at(F.split(s, "-"), 1), F.element_at(F.split(s, "-"), -1))
+        spans = F.flatten(F.transform(sets, lambda p: F.transform(F.slice(F.split(p, ":"), F.lit(2), F.size(F.split(p, ":"))), lambda s: ends(F.split(p, ":")[0], s))))
+
+    def join(done: Column, s: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        longer = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(span(last["server"], last["low"], F.greatest(last["high"], s["high"]))))
+        return F.when((F.size(done) > 0) & (last["server"] == s["server"]) & (s["low"] <= last["high"] + 1), longer).otherwise(F.concat(done, F.array(s)))
+
+    empty = F.array().cast("array<struct<server:string,low:bigint,high:bigint>>")
+    return F.aggregate(F.array_sort(F.coalesce(spans, empty)), empty, join)
+
+
+def _holds(outer: Column, inner: Column) -> Column:
+    return F.forall(inner, lambda s: F.exists(outer, lambda o: (o["server"] == s["server"]) & (o["low"] <= s["low"]) & (o["high"] >= s["high"])))
+
+
+def gtid_less(a: Column, b: Column, flavor: str = "mysql") -> Column:
+    """Whether a set of transaction ids is a true part of another: a partial order, so neither of two may be less. Null counts as empty."""
+    one, other = _spans(a, flavor), _spans(b, flavor)
+    return _holds(other, one) & ~_holds(one, other)
+
+
 def consistent_points(progress: DataFrame) -> DataFrame:
     """(marker): markers with no value of another queue below them still pending; progress is (queue, value, pending, marker)."""
     low = progress.where("pending").groupBy("queue").agg(F.min("value").alias("low"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions import hlc, values
@@ -47,18 +47,27 @@ def mutations(spark: SparkSession, files: DataFrame) -> DataFrame:
     return envelope.bulk_lines(lines, values.table_of_path(F.col("path")))
 
 
-#: What a landing path asks for.
-ROUTES = (
-    ("resolved", r"^/([^/]+)/([^/]+)/[0-9]{4}-[0-9]{2}-[0-9]{2}/[0-9]{33}\.RESOLVED$"),
-    ("ndjson", r"^/([^/]+)/([^/]+)/[0-9]{4}-[0-9]{2}-[0-9]{2}/[0-9]{33}-[^/]+\.ndjson$"),
-    ("webhook", r"^/([^/]+)/([^/]+)$"),
-)
+#: What the last two parts of a landing path are.
+DATED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}/"
+NDJSON, RESOLVED = DATED + r"(?:[^-/]+-){5}([^/]+)-[^-/]+\.ndjson$", DATED + r"([0-9]{33})\.RESOLVED$"
+#: Paths have fewer parts than this.
+MAX_PARTS = 8
 
 
-def route(path):
-    """(kind, db, schema, table) of a URL path; null kind if there is no route. Four plain parts name a table, three a schema."""
-    found = None
-    for kind, pattern in ROUTES:
-        one = F.struct(F.lit(kind).alias("kind"), F.regexp_extract(path, pattern, 1).alias("db"), F.regexp_extract(path, pattern, 2).alias("schema"))
-        found = F.when(path.rlike(pattern), one) if found is None else found.when(path.rlike(pattern), one)
-    return found
+def route(path: Column) -> Column:
+    """(kind, db, schema, table, marker) of a URL path; null if it leads nowhere.
+
+    Two parts name a schema, and a third one a table. What follows is nothing for a webhook, or a date and a file
+    for ndjson and resolved markers. Empty parts don't count, escapes are undone. A file for a
+    schema has the table's name in its own; a schema in that name doesn't count.
+    """
+    parts = F.transform(F.filter(F.split(path, "/"), lambda p: p != ""), F.try_url_decode)
+    n, at = F.size(parts), lambda i: F.try_element_at(parts, F.lit(i))
+    tail = F.concat(at(-2), F.lit("/"), at(-1))
+    fits = F.forall(parts, lambda p: p.isNotNull()) & (n < MAX_PARTS)
+    kind = F.when(n.isin(2, 3), "webhook").when(n.isin(4, 5) & tail.rlike(NDJSON), "ndjson").when(n.isin(4, 5) & tail.rlike(RESOLVED), "resolved")
+    topic = F.try_element_at(values.raw_parts(F.regexp_extract(tail, NDJSON, 1)), F.lit(-1))
+    table = F.when(n.isin(3, 5), at(3)).when(kind == "ndjson", topic)
+    marker = F.when(kind == "resolved", F.regexp_extract(tail, RESOLVED, 1))
+    found = F.struct(kind.alias("kind"), at(1).alias("db"), at(2).alias("schema"), table.alias("table"), marker.alias("marker"))
+    return F.when(fits & kind.isNotNull(), found)

@@ -42,9 +42,10 @@ def corpus(seed):
     return docs
 
 
-@pytest.mark.parametrize("seed, batch", [(1, 4_000_000), (2, 500)])
-def test_query_equals_brute_force(spark, monkeypatch, seed, batch):
+@pytest.mark.parametrize("seed, batch, bucket", [(1, 4_000_000, 64 << 20), (2, 500, 64 << 20), (3, 4_000_000, 1000)])
+def test_query_equals_brute_force(spark, monkeypatch, seed, batch, bucket):
     monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", batch)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", bucket)
     docs = corpus(seed)
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS id", "'x' AS bucket").repartition(3)
     made = sorted((tuple(r) for r in suffix_dedup.query(df).collect()), key=str)

@@ -90,6 +90,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: A value that more than one in so many rows hold is a hot one; there are fewer of them than this, whatever the table.
+HOT = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, by: str, total: int) -> DataFrame:
+    """rows joined with groups, which have one row for each value of a column, and the number n of rows that hold it.
+
+    Hot values (fewer than HOT) are broadcast, so that their rows stay where they are; the others meet in an exchange,
+    where none brings more than one in HOT of all rows. rows and groups are read twice.
+    """
+    hot = groups.where(F.col("n") > total / HOT)
+    here = rows.join(F.broadcast(hot), by)
+    rest = rows.join(F.broadcast(hot.select(by)), by, "left_anti").join(groups.where(F.col("n") <= total / HOT), by)
+    return here.unionByName(rest)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -40,7 +40,18 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import NULL_ID, batches_of, order_id, release_memory, shuffle_partitions, small_batches, text_bytes, thrifty
+from tidelog.llm.common import (
+    NULL_ID,
+    batches_of,
+    join_groups,
+    order_id,
+    release_memory,
+    shared_checkpoints,
+    shuffle_partitions,
+    small_batches,
+    text_bytes,
+    thrifty,
+)
 
 GRAM = 50
 ANCHOR = 20
@@ -53,6 +64,8 @@ _RNG = np.random.default_rng(7919)
 _BYTE_HASH = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
 _MULTIPLIERS = _RNG.integers(0, 2**64, 6, dtype=np.uint64) | np.uint64(1)
 
+#: Bytes of text for each bucket, at most; a bucket holds what of them is repeated.
+BUCKET_BYTES = 64 << 20
 PACKED = pa.schema([("bucket", pa.int32()), ("payload", pa.binary())])
 PACKED_DDL = "bucket int, payload binary"
 GATHERED = pa.schema([("id", pa.int64()), ("row_hash", pa.int64()), ("found", pa.binary())])
@@ -512,13 +525,16 @@ def removed_windows(docs: DataFrame, *more: Column) -> tuple[DataFrame, DataFram
     """
     spark = docs.sparkSession
     small_batches(spark)
-    buckets = shuffle_partitions(spark)
+    shared_checkpoints(spark)
     key = ["id", "row_hash"]
     rows = _keyed(docs, *more)  # dealt out by key for three joins; the plans are equal, so the exchange is made once
     # the digests stand for whole texts: 256 bits of SHA-2
-    digests = _keyed(docs).where(F.length("data") >= GRAM).select(*key, F.sha2("data", 256).alias("digest"))
+    long = _keyed(docs).where(F.length("data") >= GRAM)
+    digests = long.select(*key, F.unhex(F.sha2("data", 256)).alias("digest"), F.length("data").alias("size")).checkpoint()
+    seen = digests.agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).first()
+    buckets = max(shuffle_partitions(spark), -(-(seen.bytes or 0) // BUCKET_BYTES))
     lowest = digests.groupBy("digest").agg(F.min("id").alias("low"), F.count("*").alias("n")).where("n > 1")
-    copies = digests.join(lowest, "digest").where("id > low").select(*key).distinct()
+    copies = join_groups(digests.drop("size"), lowest, "digest", seen.n).where("id > low").select(*key).distinct()
     firsts = rows.join(copies, key, "left_anti")
     shared = firsts.mapInArrow(thrifty(send_anchors(buckets)), PACKED_DDL).groupBy("bucket").applyInArrow(answer_anchors(buckets), PACKED_DDL)
     shared = shared.groupBy("bucket").applyInArrow(gather_hashes, GATHERED_DDL)

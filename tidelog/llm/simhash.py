@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import NULL_ID, order_id, shared_checkpoints, shuffle_partitions, small_batches, text_bytes, thrifty
+from tidelog.llm.common import NULL_ID, join_groups, order_id, shared_checkpoints, shuffle_partitions, small_batches, text_bytes, thrifty
 from tidelog.llm.graph import components
 
 RADIUS = 2
@@ -133,13 +133,13 @@ def classes(docs: DataFrame, words: int = 5) -> DataFrame:
     """(id, print, component): a row for each row of docs; component is the smallest id of its class."""
     shared_checkpoints(docs.sparkSession)
     rows = with_prints(docs, words).checkpoint()
-    distinct = rows.groupBy("print").agg(F.min("id").alias("low"))
+    distinct = rows.groupBy("print").agg(F.min("id").alias("low"), F.count("*").alias("n"))
     found = components(links(distinct.select("print")))
     named = found.join(distinct, F.col("node") == F.col("print")).select("print", "component", "low")
     smallest = named.groupBy("component").agg(F.min("low").alias("smallest"))
     moved = named.join(smallest, "component").select("print", "smallest")
-    label = distinct.join(moved, "print", "left").select("print", F.coalesce("smallest", "low").alias("component"))
-    return rows.join(label, "print").select("id", "print", "component")
+    label = distinct.join(moved, "print", "left").select("print", F.coalesce("smallest", "low").alias("component"), "n").checkpoint()
+    return join_groups(rows, label, "print", rows.count()).select("id", "print", "component")
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -259,6 +259,18 @@ def test_resolved_ranges_skip_open_files(spark):
     assert found == {0: 2, 1: 2, 4: 5}
 
 
+def test_resolved_ranges_take_one_step_a_file(spark, capsys):
+    rng = random.Random(3)
+    names = [f"{d}/{rng.choice([20240101000000, 20240101000001, 20231231])}{rng.randrange(10**6):06d}" for d in ("a", "b/c") for _ in range(300)]
+    paths = [f"{n:0<{len(n.rpartition('/')[0]) + 34}}.RESOLVED" if rng.random() < 0.03 else f"{n}-1-2-3-4-tbl-x.ndjson" for n in names] + ["no-folder.ndjson", "é" * 20]
+    found = objects.ranges(spark.createDataFrame([(p,) for p in paths], "path string"))
+    found.explain()
+    assert "unboundedfollowing" not in capsys.readouterr().out.lower()  # such a frame is read again for each row
+    after = lambda p: min((q for q in paths if q.endswith(".RESOLVED") and q > p and q.rpartition("/")[0] == p.rpartition("/")[0]), default=None)
+    expected = sorted((p, after(p).rpartition("/")[2][:33]) for p in paths if p.endswith("-x.ndjson") and after(p))
+    assert len(expected) > 400 and sorted((r.path, r.marker) for r in found.collect()) == expected
+
+
 def test_truncate_is_an_error(spark):
     events = spark.createDataFrame([(1, 1, "truncate", "t", None, None), (2, 1, "commit", None, None, None)], "lsn long, xid long, kind string, tbl string, key string, data string")
     with pytest.raises(Exception, match="truncate of t"):

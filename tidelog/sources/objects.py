@@ -9,6 +9,8 @@ from tidelog.functions import hlc, values
 from tidelog.sources import envelope
 
 MARKER = r"(?:^|/)([0-9]{33})\.RESOLVED$"
+#: Names begin with a clock, whose first characters are a second.
+STRETCH_CHARS = 14
 
 
 def listing(spark: SparkSession, folder: str, after: str | None = None, limit: int | None = None, recursive: bool = True) -> DataFrame:
@@ -30,11 +32,18 @@ def ranges(paths: DataFrame) -> DataFrame:
     """(path, tbl, marker, nanos, logical): each data file with the first marker after it; files behind the last marker aren't final yet.
 
     Markers of one folder are in order of path, and so are the files before each. Folders are independent.
+    Names of a folder that begin alike are next to each other in that order, so each such stretch is searched by itself, backwards,
+    with one step for each file; where no marker follows in a stretch, it is the first one of the next stretch that has any.
     """
     digits = F.regexp_extract("path", MARKER, 1)
     rows = paths.select("path", F.when(digits != "", digits).alias("digits"), F.regexp_extract("path", r"^(.*/)?[^/]*$", 1).alias("folder"))
-    following = Window.partitionBy("folder").orderBy("path").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    rows = rows.withColumn("marker", F.first("digits", ignorenulls=True).over(following))
+    rows = rows.withColumn("stretch", F.substr("path", F.length("folder") + 1, F.lit(STRETCH_CHARS)))
+    stretch = Window.partitionBy("folder", "stretch").orderBy(F.desc("path")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    behind = Window.partitionBy("folder").orderBy(F.desc("stretch")).rowsBetween(Window.unboundedPreceding, -1)
+    first = rows.groupBy("folder", "stretch").agg(F.min_by("digits", F.when(F.col("digits").isNotNull(), F.col("path"))).alias("first"))
+    later = first.select("folder", "stretch", F.last("first", ignorenulls=True).over(behind).alias("later"))
+    rows = rows.withColumn("marker", F.last("digits", ignorenulls=True).over(stretch)).join(later, ["folder", "stretch"], "left")
+    rows = rows.withColumn("marker", F.coalesce("marker", "later"))
     data = rows.where("digits IS NULL AND marker IS NOT NULL AND path LIKE '%.ndjson'")
     clock = hlc.resolved_name(F.col("marker"))
     return data.select("path", values.table_of_path(F.col("path")).alias("tbl"), "marker", clock["nanos"].alias("nanos"), clock["logical"].alias("logical"))

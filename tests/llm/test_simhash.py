@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
+import corpus_pipeline
 from tidelog.llm import graph, simhash
 
 
@@ -134,6 +135,21 @@ def test_crowded_samples_lose_no_pair(spark, monkeypatch, block):
     assert len({(found[i], expected[i]) for i in found}) == len(set(found.values())) == len(set(expected.values())) < len(docs) - 50
 
 
+def test_near_copies_meet_in_the_grid(spark, small, monkeypatch):
+    """The pipeline's stage links whole texts' fingerprints by the operator's method; samples come on top of that."""
+    rng = random.Random(14)
+    texts = [[f"w{rng.getrandbits(12)}" for _ in range(2000)] for _ in range(12)]
+    docs = [" ".join(t) for t in texts] + [" ".join([*t[:k * 100], f"n{k}", *t[k * 100 + 1 :]]) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    seen, links = [], simhash.links
+    monkeypatch.setattr(simhash, "links", lambda prints: seen.extend(r.print for r in prints.collect()) or links(prints))
+    monkeypatch.setattr(simhash, "_sample_pairs", lambda views, _: views.selectExpr("node AS a", "node AS b").where("false"))
+    kept = {r.doc_id for r in corpus_pipeline.near_copies(spark, df, small).collect()}
+    assert set(seen) == {r.print for r in simhash.with_prints(df, 5).collect()}
+    by_grid = {r.id: r.component for r in simhash.classes(df).collect()}
+    assert kept == set(by_grid.values()) and len(kept) < 18
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.query(df).count() == 0 and simhash.keep_firsts(df).count() == 0

@@ -76,9 +76,13 @@ def bit_counts(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def fingerprints(texts: list[bytes], words: int) -> np.ndarray:
     """Fingerprint of each text, unsigned."""
-    hashed = [np.array(shingle_hashes(t, words), np.uint64) for t in texts]
+    return majorities([np.array(shingle_hashes(t, words), np.uint64) for t in texts])
+
+
+def majorities(hashed: list[np.ndarray]) -> np.ndarray:
+    """Of each array of hashes the bits that over half of them have; zero if it is empty."""
     size = np.array([len(h) for h in hashed], np.int64)
-    out = np.zeros(len(texts), np.uint64)
+    out = np.zeros(len(hashed), np.uint64)
     some = np.flatnonzero(size)
     if len(some):
         counts = bit_counts(np.concatenate(hashed), (np.cumsum(size) - size)[some])
@@ -174,17 +178,18 @@ def _shingle_set(data: bytes, words: int) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame, words: int) -> DataFrame:
-    """(id, row_hash, node, n, views): node stands for the set of shingles, of which there are n."""
-    names = ["id", "row_hash", "node", "n", "views"]
+    """(id, row_hash, node, n, print, views): node stands for the set of shingles, of which there are n; print is the whole text's fingerprint."""
+    names = ["id", "row_hash", "node", "n", "print", "views"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [_shingle_set(x, words) for x in batch.column("data").to_pylist()]
+            hashed = [np.array(shingle_hashes(x, words), np.uint64) for x in batch.column("data").to_pylist()]
+            prints, sets = majorities(hashed).view(np.int64), [np.unique(h) for h in hashed]
             node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
             views = [view_prints(s).view(np.int64).tolist() if len(s) else [] for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row_hash"), pa.array(node), pa.array([len(s) for s in sets], pa.int32()), pa.array(views, pa.list_(pa.int64()))], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row_hash"), pa.array(node), pa.array([len(s) for s in sets], pa.int32()), pa.array(prints), pa.array(views, pa.list_(pa.int64()))], names=names)
 
-    return _keyed(docs).mapInArrow(thrifty(run), "id long, row_hash long, node long, n int, views array<long>")
+    return _keyed(docs).mapInArrow(thrifty(run), "id long, row_hash long, node long, n int, print long, views array<long>")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -293,13 +298,35 @@ def _crowd_links(cells: DataFrame, docs: DataFrame, rows: DataFrame, words: int,
     return cells.join(texts, "node").groupBy("cell").applyInArrow(compare, "a long, b long")
 
 
+def _grid_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b): nodes whose whole texts' fingerprints are linked in the grid, within RADIUS bits, or are the same."""
+    prints = rows.select("node", "print").distinct()
+    firsts = prints.groupBy("print").agg(F.min("node").alias("first")).checkpoint()
+    same = prints.join(firsts, "print").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    end = lambda c: firsts.select(F.col("print").alias(f"print_{c}"), F.col("first").alias(c))
+    near = links(firsts.select("print")).withColumnsRenamed({"a": "print_a", "b": "print_b"})
+    pairs = near.join(end("a"), "print_a").join(end("b"), "print_b").select("a", "b").union(same)
+    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _sample_pairs(views: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): nodes that share a sample and are next to each other in its order, by sizes that such a similarity allows."""
+    views = views.withColumn("point", grid_point(F.col("print")))
+    order = Window.partitionBy("view", "point").orderBy("print", "next1", "next2", "node")
+    met = views.withColumn("before", F.collect_list(F.struct("node", "n", "print")).over(order.rowsBetween(-NEIGHBOURS, -1))).where(F.size("before") > 0)
+    pairs = met.select(F.col("node").alias("a"), "n", "print", F.explode("before").alias("o")).where(F.col("print") == F.col("o.print"))
+    pairs = pairs.where((F.least("n", "o.n") >= similarity * F.greatest("n", "o.n")))
+    return pairs.select(F.least("a", "o.node").alias("a"), F.greatest("a", "o.node").alias("b"))
+
+
 def similar(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
     """(id, row_hash, component): classes of documents whose sets of word shingles have that Jaccard similarity, directly or through others.
 
-    At a similarity of 0.8 fingerprints of whole texts differ in some ten of 64 bits, which bit counts of segments can't tell
-    from chance. So fingerprints are taken of samples: a sample of four shingles is the same in two such documents
+    Whole texts' fingerprints are linked in the grid as in classes(), and an exact check of all shingles follows.
+    At a similarity of 0.8 they differ in some ten of 64 bits, though, which bit counts of segments can't tell
+    from chance. So fingerprints are also taken of samples: a sample of four shingles is the same in two such documents
     two times in five, and in one of sixteen samples all but surely (2 in 10,000 pairs are missed). Samples' fingerprints
-    meet in grid points, at radius 0, and candidates are verified on all shingles.
+    meet in grid points, at radius 0, and these candidates are verified with the others.
     In a point's order by this and the following samples, each document is compared with the NEIGHBOURS before it: with
     all where a few meet, with the likest where many do. That joins most of what is alike; where many meet, all pairs
     that it didn't connect are compared after that, so every pair that shares a sample is verified or connected by others.
@@ -309,12 +336,7 @@ def similar(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY) ->
     nodes = rows.groupBy("node").agg(F.first("n").alias("n"), F.first("views").alias("views"))
     following = [F.get("views", F.pmod(F.col("view") + k, F.lit(VIEWS))) for k in (1, 2)]
     views = nodes.select("node", "n", "views", F.posexplode("views").alias("view", "print")).select("node", "n", "view", "print", following[0].alias("next1"), following[1].alias("next2"))
-    views = views.withColumn("point", grid_point(F.col("print")))
-    order = Window.partitionBy("view", "point").orderBy("print", "next1", "next2", "node")
-    met = views.withColumn("before", F.collect_list(F.struct("node", "n", "print")).over(order.rowsBetween(-NEIGHBOURS, -1))).where(F.size("before") > 0)
-    pairs = met.select(F.col("node").alias("a"), "n", "print", F.explode("before").alias("o")).where(F.col("print") == F.col("o.print"))
-    pairs = pairs.where((F.least("n", "o.n") >= similarity * F.greatest("n", "o.n")))
-    pairs = pairs.select(F.least("a", "o.node").alias("a"), F.greatest("a", "o.node").alias("b")).distinct().checkpoint()
+    pairs = _grid_pairs(rows).union(_sample_pairs(views, similarity)).distinct().checkpoint()
     found = components(_verified(pairs, docs, rows, words, similarity))
     cells = _crowds(views, found, similarity).checkpoint()
     more = _crowd_links(cells, docs, rows, words, similarity).checkpoint()
